@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Veltkamp splitting constant for IEEE doubles, 2**27 + 1.
-_SPLIT = 134217729.0
-
 _NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf(inity)?))$"
 
 
@@ -15,19 +12,18 @@ def round_exact(value: Column, digits: int) -> Column:
     """Round the *binary* value of a double half-to-even, as Python's ``round`` does.
 
     ``F.round`` and ``F.bround`` round the shortest decimal text of the double, so
-    2.675 becomes 2.68 although the stored number is below the tie. Here the part of
-    ``value * 10**digits`` lost to double rounding is recovered exactly (error-free
-    product) and decides the ties. Plain arithmetic, so it stays inside codegen.
+    2.675 becomes 2.68 although the stored number is below the tie. Here, where
+    ``value * 10**digits`` lands on a tie, the part lost to its double rounding is
+    recovered exactly (the value split at float precision keeps both partial products
+    exact) and nudges the tie to its true side. Plain arithmetic inside codegen.
     """
     scale = float(10**digits)
     x = value.cast("double")
     scaled = x * scale
-    high = x * _SPLIT - (x * _SPLIT - x)
+    high = x.cast("float").cast("double")
     lost = (high * scale - scaled) + (x - high) * scale
-    whole = F.floor(scaled).cast("double")
-    part = scaled - whole
-    up = (part > 0.5) | ((part == 0.5) & ((lost > 0) | ((lost == 0) & (F.abs(whole % 2) == 1))))
-    return F.when(up, whole + 1).otherwise(whole) / scale
+    nudge = F.when(F.abs(scaled % 1) == 0.5, F.signum(lost) * 0.25).otherwise(0.0)
+    return F.rint(scaled + nudge) / scale
 
 
 def ratio(part: Column, whole: Column) -> Column:

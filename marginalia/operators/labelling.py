@@ -82,14 +82,14 @@ def predict(df: DataFrame, rule_sets: Sequence[RuleSet], text_col: str = "text")
     kept = [F.col(f"`{c}`") for c in df.columns]
     folded = df.select(*kept, fold_case(text).alias("__folded"))
     split = folded.withColumn("__words", known_words(F.col("__folded"), vocabulary))
-    counted = split.select(
-        *kept,
-        is_blank(text).alias("__blank"),
-        *[
-            c.alias(f"__counts_{i}")
-            for i, c in enumerate(_count_arrays(rule_sets, text, F.col("__words"), F.col("__folded")))
-        ],
+    counts = _count_arrays(rule_sets, text, F.col("__words"), F.col("__folded"))
+    # A one-row generator instead of a plain projection: the optimizer copies projected
+    # expressions into every later filter or column that mentions them, which would scan
+    # the text again each time. Generated columns are computed once.
+    once = F.struct(
+        is_blank(text).alias("__blank"), *[c.alias(f"__counts_{i}") for i, c in enumerate(counts)]
     )
+    counted = split.select(*kept, F.inline(F.array(once)))
     return counted.select(
         *kept,
         *[
@@ -132,37 +132,35 @@ def label_tasks(df: DataFrame, rule_sets: Sequence[RuleSet], text_col: str = "te
     )
 
 
-def signal_hits(df: DataFrame, rule_set: RuleSet, text_col: str = "text") -> DataFrame:
+def signal_hits(df: DataFrame, rule_sets: Sequence[RuleSet], text_col: str = "text") -> DataFrame:
     """Rows per pattern that contain it: task, label, label_ord, signal_ord, pattern, hits.
 
     Shows which rules carry a task and which never fire. One pass, one tiny aggregate.
     """
-    text = F.col(text_col)
-    words = known_words(F.col("__folded"), rule_set.vocabulary)
-    prepared = df.select(text.alias("__text"), fold_case(text).alias("__folded"))
-    prepared = prepared.withColumn("__words", words)
+    text, folded, words = F.col("__text"), F.col("__folded"), F.col("__words")
+    vocabulary = set().union(*[r.vocabulary for r in rule_sets])
+    prepared = df.select(F.col(text_col).alias("__text"), fold_case(F.col(text_col)).alias("__folded"))
+    prepared = prepared.withColumn("__words", known_words(folded, vocabulary))
     signals = [
-        (name, label_ord, signal_ord, signal)
+        (rule_set.task, name, label_ord, signal_ord, signal)
+        for rule_set in rule_sets
         for label_ord, (name, found) in enumerate(rule_set.signals.items())
         for signal_ord, signal in enumerate(found)
     ]
     totals = prepared.agg(
-        *[
-            F.count_if(signal_found(s, F.col("__text"), F.col("__folded"), F.col("__words"))).alias(f"h{i}")
-            for i, (_, _, _, s) in enumerate(signals)
-        ]
+        *[F.count_if(signal_found(s, text, folded, words)).alias(f"h{i}") for i, (*_, s) in enumerate(signals)]
     )
     rows = F.array(
         *[
             F.struct(
-                F.lit(rule_set.task).alias("task"),
+                F.lit(task).alias("task"),
                 F.lit(name).alias("label"),
                 F.lit(label_ord).alias("label_ord"),
                 F.lit(signal_ord).alias("signal_ord"),
                 F.lit(s.pattern).alias("pattern"),
                 F.col(f"h{i}").alias("hits"),
             )
-            for i, (name, label_ord, signal_ord, s) in enumerate(signals)
+            for i, (task, name, label_ord, signal_ord, s) in enumerate(signals)
         ]
     )
     return totals.select(F.inline(rows))

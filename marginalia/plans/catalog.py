@@ -1,0 +1,1015 @@
+"""Registered queries: every operator applied to whole driver tables.
+
+Keys follow the operator inventory. ``documents`` is labelled with the language rule set
+(its own ``lang`` column is the truth); ``labels`` tells which documents a human looked
+at; ``events`` supplies plain categorical labels.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marginalia.functions import bands, numbers
+from marginalia.functions import text as t
+from marginalia.operators import (
+    agreement,
+    distribution,
+    duplicates,
+    golden,
+    labelling,
+    overrides,
+    records,
+    reliability,
+    review,
+    rowchecks,
+    summary,
+)
+from marginalia.operators.checks import Check
+from marginalia.plans import qa_suite
+from marginalia.plans.label_job import stored
+from marginalia.schemas import RECORD_FIELDS
+from marginalia.sources import annotated, readers, reviewtool, rules, samples, writers
+from marginalia.sources.layout import spread
+from marginalia.sources.paths import shared_folder
+from marginalia.sources.vocabulary import BUILT_IN_RULES, LANGUAGE_RULES
+from marginalia.streaming import label_stream
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+LANGUAGE = rules.RuleSet("language", LANGUAGE_RULES)
+BUILT_IN = [rules.RuleSet(task, found) for task, found in BUILT_IN_RULES.items()]
+# Whitespace of several kinds, put around texts to be stripped again.
+PAD_LEFT, PAD_RIGHT = " \t \n", "  \x1c\r\n"
+
+_QUERIES: dict[str, Query] = {}
+
+
+def query(name: str) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        _QUERIES[name] = fn
+        return fn
+
+    return register
+
+
+def registered() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+# --- shared inputs --------------------------------------------------------------------
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Documents with the id and text columns the operators expect, plus ``columns``."""
+    docs = table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("_id"), F.col("text").alias("_text"), *columns
+    )
+    return spread(docs)
+
+
+def labelled(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    return labelling.label(documents(spark, sf, *columns), LANGUAGE, "_text")
+
+
+def decisions(spark: SparkSession, sf: str) -> DataFrame:
+    """What reviewers answered: the true language, or accept, skip, nonsense, quit."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    seen = docs.join(table(spark, sf, "labels"), "doc_id")
+    number = F.array_position(F.array(*[F.lit(x) for x in LANGUAGE.labels]), F.col("lang"))
+    choice = (
+        F.when(F.col("n_chars") > 10000, "q")
+        .when((F.col("quality") == 0) & (F.col("toxic") == 1), "x")
+        .when(F.col("quality") == 0, " S ")
+        .when(F.col("toxic") == 1, "")
+        .otherwise(number.cast("string"))
+    )
+    return seen.select(
+        F.col("doc_id").cast("string").alias("source_id"),
+        choice.alias("choice"),
+        F.col("source").alias("annotator"),
+        (F.col("n_chars") / 100.0).alias("time_sec"),
+        F.col("doc_id").alias("seq"),
+    )
+
+
+def reviewed(spark: SparkSession, sf: str, record_ids: str = "uuid") -> DataFrame:
+    return review.apply_reviews(
+        labelled(spark, sf), decisions(spark, sf), LANGUAGE, record_ids=record_ids
+    )
+
+
+def gold(spark: SparkSession, sf: str) -> DataFrame:
+    """True language of the documents judged good."""
+    good = table(spark, sf, "labels").filter(F.col("quality") == 1).select("doc_id")
+    return (
+        table(spark, sf, "documents")
+        .select("doc_id", "lang")
+        .join(good, "doc_id")
+        .select(F.col("doc_id").cast("string").alias("source_id"), F.col("lang").alias("final_label"))
+    )
+
+
+def second_annotator(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("source_id"), F.col("lang").alias("final_label")
+    )
+
+
+def _flags(df: DataFrame) -> DataFrame:
+    """Flat check rows for comparison: the issue list as one text."""
+    return df.withColumn("issues", F.concat_ws("; ", "issues")).drop("skipped", "reason")
+
+
+def _figures(spark: SparkSession, checks: DataFrame) -> DataFrame:
+    return qa_suite.check_metrics(checks).withColumn("value", numbers.round_exact(F.col("value"), 4))
+
+
+# --- sources --------------------------------------------------------------------------
+
+
+def _source_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(
+        table(spark, sf, "documents").select(
+            F.col("doc_id").cast("string").alias("id"), "text", "lang"
+        )
+    )
+
+
+def _digest_rows(df: DataFrame) -> DataFrame:
+    return df.select("id", "lang", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+def _csv_round_trip(spark: SparkSession, sf: str, suffix: str, sep: str) -> str:
+    path = shared_folder(spark, "texts") + suffix
+    _source_rows(spark, sf).write.csv(
+        path,
+        header=True,
+        sep=sep,
+        escape='"',
+        emptyValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+    return path
+
+
+@query("S1_scan_csv")
+def scan_csv(spark: SparkSession, sf: str) -> DataFrame:
+    return _digest_rows(readers.scan_csv(spark, _csv_round_trip(spark, sf, ".csv", ",")))
+
+
+@query("S2_scan_tsv")
+def scan_tsv(spark: SparkSession, sf: str) -> DataFrame:
+    return _digest_rows(readers.scan_tsv(spark, _csv_round_trip(spark, sf, ".tsv", "\t")))
+
+
+@query("S3_scan_json_array")
+def scan_json_array(spark: SparkSession, sf: str) -> DataFrame:
+    path = writers.write_json_array(_source_rows(spark, sf), shared_folder(spark, "texts") + ".json")
+    return _digest_rows(readers.scan_json_array(spark, path))
+
+
+def _jsonl(spark: SparkSession, sf: str) -> str:
+    path = shared_folder(spark, "texts") + ".jsonl"
+    _source_rows(spark, sf).write.json(path)
+    return path
+
+
+@query("S4_scan_jsonl")
+def scan_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    return _digest_rows(readers.scan_jsonl(spark, _jsonl(spark, sf)))
+
+
+@query("S5_format_dispatch")
+def format_dispatch(spark: SparkSession, sf: str) -> DataFrame:
+    """The suffix picks the reader; one label count per format read back."""
+
+    def counted(path: str) -> DataFrame:
+        kind = readers.suffix_of(path)
+        return (
+            readers.load(spark, path).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+        ).select(F.lit(kind).alias("suffix"), "lang", "n")
+
+    paths = [_csv_round_trip(spark, sf, ".CSV", ","), _jsonl(spark, sf), f"{sf}/documents.parquet"]
+    return reduce(DataFrame.unionByName, [counted(p) for p in paths])
+
+
+@query("S6_scan_annotated")
+def scan_annotated(spark: SparkSession, sf: str) -> DataFrame:
+    path = writers.write_csv(reviewed(spark, sf), shared_folder(spark, "annotated"), LANGUAGE.labels)
+    return annotated.scan_annotated(spark, path).select(
+        "source_id",
+        "auto_label",
+        "auto_confidence",
+        "final_label",
+        "is_human_reviewed",
+        "human_override",
+        F.md5("text").alias("text_md5"),
+    )
+
+
+@query("S7_scan_rules")
+def scan_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules written as a user would, read back, and applied."""
+    path = shared_folder(spark, "rules")
+    body = json.dumps({"_comment": "function words", **LANGUAGE_RULES})
+    spark.range(1).select(F.lit(body).alias("value")).coalesce(1).write.text(path)
+    loaded = rules.resolve_rules("language", rules.scan_rules(spark, path))
+    found = labelling.label(documents(spark, sf), loaded, "_text")
+    return summary.label_counts(found, "auto_label")
+
+
+@query("S8_builtin_rules")
+def builtin_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return labelling.signal_hits(documents(spark, sf), BUILT_IN, "_text").drop("pattern")
+
+
+@query("S9_gen_samples")
+def gen_samples(spark: SparkSession, sf: str) -> DataFrame:
+    return samples.sample_texts(table(spark, sf, "documents"), "intent", F.col("doc_id"))
+
+
+@query("S10_golden_table")
+def golden_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold items handed out to documents in turn, and how often each was used."""
+    turn = F.format_string("g%03d", F.col("doc_id") % 10 + 1).alias("source_id")
+    items = samples.gold_items(spark, "content_category")
+    return (
+        table(spark, sf, "documents")
+        .select(turn)
+        .join(items, "source_id")
+        .groupBy("source_id", "text", "final_label")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+# --- sinks ----------------------------------------------------------------------------
+
+
+@query("K1_sink_csv")
+def sink_csv(spark: SparkSession, sf: str) -> DataFrame:
+    path = writers.write_csv(reviewed(spark, sf), shared_folder(spark, "csv"), LANGUAGE.labels)
+    return readers.scan_csv(spark, path).select(
+        "source_id",
+        "task",
+        "auto_label",
+        F.col("auto_confidence").cast("double").alias("auto_confidence"),
+        "final_label",
+        "annotator",
+        "is_human_reviewed",
+        "human_override",
+        *[F.col(f"signal_{x}").cast("int").alias(f"signal_{x}") for x in LANGUAGE.labels],
+        F.md5("text").alias("text_md5"),
+    )
+
+
+@query("K2_sink_jsonl")
+def sink_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    path = writers.write_jsonl(reviewed(spark, sf), shared_folder(spark, "jsonl"))
+    stored_as = "source_id string, auto_label string, auto_confidence double, final_label string, "
+    stored_as += "is_human_reviewed boolean, annotation_time_sec double, auto_signals map<string,int>, text string"
+    return spark.read.schema(stored_as).json(path).select(
+        "source_id",
+        "auto_label",
+        "auto_confidence",
+        "final_label",
+        "is_human_reviewed",
+        "annotation_time_sec",
+        *[F.col("auto_signals")[x].alias(f"signal_{x}") for x in LANGUAGE.labels],
+        F.md5("text").alias("text_md5"),
+    )
+
+
+def _review_tasks(spark: SparkSession, sf: str) -> str:
+    return writers.write_review_tasks(reviewed(spark, sf), shared_folder(spark, "tasks"), "language")
+
+
+@query("K3_sink_label_studio")
+def sink_label_studio(spark: SparkSession, sf: str) -> DataFrame:
+    tasks = spark.read.json(_review_tasks(spark, sf))
+    annotation, prediction = F.col("annotations")[0], F.col("predictions")[0]
+    chosen, guessed = annotation["result"][0], prediction["result"][0]
+    return tasks.select(
+        "id",
+        F.md5("data.text").alias("text_md5"),
+        F.col("data.task_type").alias("task_type"),
+        chosen["from_name"].alias("from_name"),
+        chosen["to_name"].alias("to_name"),
+        chosen["type"].alias("type"),
+        chosen["value"]["choices"][0].alias("chosen"),
+        chosen["value"]["confidence"].alias("confidence"),
+        annotation["was_cancelled"].alias("was_cancelled"),
+        annotation["lead_time"].alias("lead_time"),
+        prediction["model_version"].alias("model_version"),
+        prediction["score"].alias("score"),
+        guessed["value"]["choices"][0].alias("guessed"),
+    )
+
+
+def _flat_summary(df: DataFrame) -> DataFrame:
+    def count_of(distribution_col: str, label: str) -> Column:
+        return F.coalesce(F.col(f"{distribution_col}.{label}"), F.lit(0)).cast("long")
+
+    return df.select(
+        F.col("total_records").alias("total_records"),
+        "task",
+        *[count_of("label_distribution", x).alias(f"final_{x}") for x in LANGUAGE.labels],
+        *[count_of("auto_label_distribution", x).alias(f"auto_{x}") for x in LANGUAGE.labels],
+        "confidence_stats.*",
+        "human_review.*",
+        "quality_flags.*",
+    )
+
+
+@query("K4_sink_summary")
+def sink_summary(spark: SparkSession, sf: str) -> DataFrame:
+    path = writers.write_summary(reviewed(spark, sf), shared_folder(spark, "summary"))
+    return _flat_summary(spark.read.json(path))
+
+
+@query("K5_export_dispatch")
+def export_dispatch(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows found in each output of a run, by automatic label where the output has it."""
+    paths = writers.export(
+        spark, reviewed(spark, sf), shared_folder(spark, "export"), LANGUAGE, mode="all"
+    )
+    outputs = {
+        "records": spark.read.parquet(paths["records"]).select("auto_label"),
+        "csv": readers.scan_csv(spark, paths["csv"]).select("auto_label"),
+        "jsonl": spark.read.schema("auto_label string").json(paths["jsonl"]),
+        "review_tasks": reviewtool.import_review_tasks(spark, paths["review_tasks"]).select("auto_label"),
+    }
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.groupBy("auto_label")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select(F.lit(name).alias("output"), "auto_label", "n")
+            for name, df in outputs.items()
+        ],
+    )
+
+
+@query("K6_sink_qa_results")
+def sink_qa_results(spark: SparkSession, sf: str) -> DataFrame:
+    table_ = stored(spark, reviewed(spark, sf), "reviewed")
+    truth, other = gold(spark, sf), second_annotator(spark, sf)
+    checks = stored(spark, qa_suite.run_checks(table_, 0.2, truth, other), "checks")
+    details = qa_suite.label_metrics(table_, truth, other)
+    paths = writers.write_check_results(checks, details, shared_folder(spark, "qa"), "documents")
+    return spark.read.schema("check string, passed boolean, skipped boolean, input string").json(
+        paths["checks"]
+    )
+
+
+# --- projections and scalar functions ---------------------------------------------------
+
+
+@query("P1_detect_text_col")
+def detect_text_col(spark: SparkSession, sf: str) -> DataFrame:
+    """Two candidates, upper-cased: the one earlier in the known list wins."""
+    raw = table(spark, sf, "documents").select(
+        F.col("source").alias("BODY"), F.col("text").alias("Title"), F.col("doc_id").alias("Review_ID")
+    )
+    return readers.clean(raw).select("_id", F.md5("_text").alias("text_md5"))
+
+
+@query("P2_detect_id_col")
+def detect_id_col(spark: SparkSession, sf: str) -> DataFrame:
+    """No known id column: rows are numbered in file order."""
+    raw = table(spark, sf, "documents").select("text", "source")
+    return readers.clean(raw).select("_id", "source", F.md5("_text").alias("text_md5"))
+
+
+@query("P3_clean_text")
+def clean_text(spark: SparkSession, sf: str) -> DataFrame:
+    padded = F.concat(F.lit(PAD_LEFT), "text", F.lit(PAD_RIGHT))
+    return table(spark, sf, "documents").select(
+        "doc_id", F.md5(t.strip(padded)).alias("text_md5"), F.length(t.strip(padded)).alias("n")
+    )
+
+
+@query("P4_drop_empty")
+def drop_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts of one language blanked out, of another set to NULL."""
+    blanked = (
+        F.when(F.col("lang") == "de", F.lit(PAD_LEFT + PAD_RIGHT))
+        .when(F.col("lang") == "fr", F.lit(None).cast("string"))
+        .otherwise(F.col("text"))
+    )
+    raw = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), blanked.alias("text"), "lang")
+    return readers.clean(raw).select("_id", "lang")
+
+
+@query("P5_coerce_confidence")
+def coerce_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    kind, value = F.col("event_type"), F.col("value").cast("string")
+    spelled = (
+        F.when(kind == "error", F.concat(value, F.lit("d")))
+        .when(kind == "view", "nan")
+        .when(kind == "signup", "")
+        .when(kind == "click", F.concat(F.lit(" "), value))
+        .otherwise(value)
+    )
+    return table(spark, sf, "events").select(
+        "event_id", numbers.coerce_confidence(spelled).alias("confidence")
+    )
+
+
+@query("P6_coerce_bool")
+def coerce_bool(spark: SparkSession, sf: str) -> DataFrame:
+    spelled = (
+        F.when(F.col("event_type") == "error", "True")
+        .when(F.col("event_type") == "view", "1")
+        .when(F.col("event_type") == "signup", "yes")
+        .when(F.col("event_type") == "click", "")
+        .otherwise("False")
+    )
+    return table(spark, sf, "events").select("event_id", numbers.coerce_bool(spelled).alias("flag"))
+
+
+@query("P7_alias_columns")
+def alias_columns(spark: SparkSession, sf: str) -> DataFrame:
+    raw = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("source_id"),
+        F.col("text").alias(" Review "),
+        F.col("lang").alias("LABEL"),
+        F.col("source").alias("Prediction"),
+        F.lit("0.5").alias("Confidence"),
+    )
+    return annotated.conform(raw).select(
+        "source_id", "final_label", "auto_label", "auto_confidence", F.md5("text").alias("text_md5")
+    )
+
+
+@query("P8_normalise_text")
+def normalise_text(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select(
+        "doc_id", F.md5(t.normalise(F.col("text"))).alias("key_md5")
+    )
+
+
+@query("P9_record_fields")
+def record_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """A reviewer passed the language, nothing (NULL) or an empty label, depending on source."""
+    passed = F.when(F.col("source").isin("src0", "src1"), F.lit(None).cast("string")).when(
+        F.col("source").isin("src2", "src3"), ""
+    )
+    rows = records.record_fields(
+        labelled(spark, sf, "lang", "source", "n_chars"),
+        "language",
+        final=F.coalesce(passed, F.when(~F.col("source").isin("src0", "src1"), F.col("lang"))),
+        annotator=F.col("source"),
+        reviewed=F.col("source") != "src9",
+        seconds=F.col("n_chars") / 32.0,
+        record_ids="content",
+    )
+    return rows.select(
+        "record_id",
+        "source_id",
+        "final_label",
+        "is_human_reviewed",
+        "human_override",
+        "annotation_time_sec",
+    )
+
+
+@query("P10_record_dict")
+def record_dict(spark: SparkSession, sf: str) -> DataFrame:
+    rows = records.record_view(reviewed(spark, sf, record_ids="content"))
+    shaped = {
+        "text": F.md5("text"),
+        "auto_signals": F.concat_ws(",", *[F.col("auto_signals")[x].cast("string") for x in LANGUAGE.labels]),
+        "metadata": F.size("metadata"),
+        "created_at": F.col("created_at").isNotNull(),
+    }
+    return rows.select(*[shaped.get(c, F.col(c)).alias(c) for c in RECORD_FIELDS])
+
+
+@query("P11_interpret_kappa")
+def interpret_kappa(spark: SparkSession, sf: str) -> DataFrame:
+    value = (F.col("value") - 20.0) / 100.0
+    return (
+        table(spark, sf, "events")
+        .groupBy(bands.interpret_kappa(value).alias("reading"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+@query("P12_is_upper")
+def is_upper(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts as they are, and upper-cased for one language."""
+    raised = F.when(F.col("lang") == "de", F.upper("text")).otherwise(F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", t.is_shouting(raised).alias("shouting"))
+
+
+@query("P13_excess_punct")
+def excess_punct(spark: SparkSession, sf: str) -> DataFrame:
+    ended = F.when(F.col("lang") == "fr", F.concat("text", F.lit("?!?"))).otherwise(
+        F.concat("text", F.lit("!!"))
+    )
+    return table(spark, sf, "documents").select(
+        "doc_id", t.has_excess_punctuation(ended).alias("excess")
+    )
+
+
+@query("P14_has_replacement_char")
+def has_replacement_char(spark: SparkSession, sf: str) -> DataFrame:
+    broken = F.when(F.col("lang") == "es", F.concat("text", F.lit("�"))).otherwise(F.col("text"))
+    return table(spark, sf, "documents").select(
+        "doc_id", t.has_replacement_char(broken).alias("broken")
+    )
+
+
+@query("P15_text_length")
+def text_length(spark: SparkSession, sf: str) -> DataFrame:
+    smiling = F.concat("text", F.lit("😊"))
+    return table(spark, sf, "documents").select("doc_id", t.text_length(smiling).alias("n"))
+
+
+# --- rule labelling -------------------------------------------------------------------
+
+
+@query("R1_rule_resolve")
+def rule_resolve(spark: SparkSession, sf: str) -> DataFrame:
+    """Custom rules win; an empty custom set falls back to the built-in task."""
+    chosen = [
+        rules.resolve_rules("language", LANGUAGE_RULES),
+        rules.resolve_rules("sentiment", {}),
+        rules.resolve_rules("intent"),
+    ]
+    found = labelling.label_tasks(documents(spark, sf), chosen, "_text")
+    return found.groupBy("task", "auto_label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("R2_signal_counts")
+def signal_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return labelled(spark, sf).select(
+        "_id", *[F.col("auto_signals")[x].alias(f"signal_{x}") for x in LANGUAGE.labels]
+    )
+
+
+@query("R3_argmax_label")
+def argmax_label(spark: SparkSession, sf: str) -> DataFrame:
+    return labelled(spark, sf).select("_id", "auto_label")
+
+
+@query("R4_confidence")
+def confidence(spark: SparkSession, sf: str) -> DataFrame:
+    return labelled(spark, sf).select("_id", "auto_confidence")
+
+
+@query("R5_zero_signal_default")
+def zero_signal_default(spark: SparkSession, sf: str) -> DataFrame:
+    return labelled(spark, sf).filter(F.col("auto_confidence") == 0).select("_id", "auto_label")
+
+
+@query("R6_unknown_text")
+def unknown_text(spark: SparkSession, sf: str) -> DataFrame:
+    damaged = (
+        F.when(F.col("lang") == "de", F.lit(PAD_LEFT + PAD_RIGHT))
+        .when(F.col("lang") == "fr", F.lit(None).cast("string"))
+        .otherwise(F.col("_text"))
+    )
+    rows = documents(spark, sf, "lang").withColumn("_text", damaged)
+    return labelling.label(rows, LANGUAGE, "_text").select(
+        "_id", "auto_label", "auto_confidence", F.size("auto_signals").alias("n_signals")
+    )
+
+
+@query("R7_label_batch")
+def label_batch(spark: SparkSession, sf: str) -> DataFrame:
+    return records.label_batch(documents(spark, sf), LANGUAGE, record_ids="content").select(
+        "record_id", "source_id", "task", "auto_label", "auto_confidence", "final_label", "annotator",
+        "is_human_reviewed", "human_override",
+    )
+
+
+@query("R8_label_rules_table")
+def label_rules_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Every rule set over documents and conversations in one pass."""
+    docs = table(spark, sf, "documents").select("text")
+    turns = table(spark, sf, "conversations").select("text")
+    found = labelling.label_tasks(spread(docs.unionByName(turns)), [*BUILT_IN, LANGUAGE])
+    return found.groupBy("task", "auto_label", "auto_confidence").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- human review -----------------------------------------------------------------------
+
+
+@query("H1_apply_reviews")
+def apply_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    return reviewed(spark, sf).select(
+        "source_id", "auto_label", "final_label", "annotator", "is_human_reviewed", "annotation_time_sec"
+    )
+
+
+@query("H2_quit_remainder")
+def quit_remainder(spark: SparkSession, sf: str) -> DataFrame:
+    """Per session: answers that count, and answers lost at or after a quit."""
+    given = decisions(spark, sf)
+    kept = review.effective_decisions(given, LANGUAGE.labels).select("source_id", F.lit(1).alias("kept"))
+    return (
+        given.join(kept, "source_id", "left")
+        .groupBy("annotator")
+        .agg(F.count("kept").alias("counted"), F.count_if(F.col("kept").isNull()).alias("void"))
+    )
+
+
+@query("H3_override_flag")
+def override_flag(spark: SparkSession, sf: str) -> DataFrame:
+    return reviewed(spark, sf).filter("human_override").select("source_id", "auto_label", "final_label")
+
+
+@query("H4_review_counts")
+def review_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return review.review_counts(reviewed(spark, sf))
+
+
+@query("H5_review_queue")
+def review_queue(spark: SparkSession, sf: str) -> DataFrame:
+    return review.review_queue(labelled(spark, sf)).select("_id", "auto_label", "auto_confidence")
+
+
+# --- joins ----------------------------------------------------------------------------
+
+
+def _auto_as_final(spark: SparkSession, sf: str) -> DataFrame:
+    return labelled(spark, sf).select(
+        F.col("_id").alias("source_id"), F.col("auto_label").alias("final_label")
+    )
+
+
+@query("J1_iaa_join")
+def iaa_join(spark: SparkSession, sf: str) -> DataFrame:
+    return agreement.join_annotators(_auto_as_final(spark, sf), second_annotator(spark, sf))
+
+
+@query("J1_iaa_join_repeated_ids")
+def iaa_join_repeated_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Users carry many events: the join is many-to-many, its counts come without its rows."""
+    events = table(spark, sf, "events")
+    high = F.when(F.col("value") > 20, F.col("event_type")).otherwise("view")
+    a = events.select("user_id", F.col("event_type").alias("final_label"))
+    b = events.select("user_id", high.alias("final_label"))
+    return agreement.paired_counts(a, b, "user_id")
+
+
+@query("J2_golden_join")
+def golden_join(spark: SparkSession, sf: str) -> DataFrame:
+    found = labelled(spark, sf).withColumnRenamed("_id", "source_id")
+    return agreement.join_gold(found, gold(spark, sf))
+
+
+# --- aggregations -----------------------------------------------------------------------
+
+
+@query("A1_annotation_summary")
+def annotation_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat_summary(summary.annotation_summary(reviewed(spark, sf)))
+
+
+@query("A2_label_distribution")
+def label_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    return summary.label_counts(reviewed(spark, sf), "final_label")
+
+
+@query("A3_auto_label_distribution")
+def auto_label_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    return summary.label_counts(labelled(spark, sf), "auto_label")
+
+
+@query("A4_confidence_stats")
+def confidence_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return summary.confidence_stats(reviewed(spark, sf))
+
+
+@query("A5_review_stats")
+def review_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return summary.review_stats(reviewed(spark, sf))
+
+
+@query("A6_quality_flags")
+def quality_flags(spark: SparkSession, sf: str) -> DataFrame:
+    return summary.quality_flags(labelled(spark, sf))
+
+
+@query("A7_summary_view")
+def summary_view(spark: SparkSession, sf: str) -> DataFrame:
+    return summary.label_shares(reviewed(spark, sf))
+
+
+# --- quality checks -----------------------------------------------------------------------
+
+
+def _damaged(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviewed records with labels, texts and confidences missing for some sources."""
+    source = F.col("source")
+    return labelled(spark, sf, "source").select(
+        F.when(source == "src4", " \t").otherwise(F.col("_text")).alias("text"),
+        F.when(source == "src5", "null").otherwise(F.col("auto_label")).alias("final_label"),
+        F.when(source == "src6", "").otherwise(F.col("auto_label")).alias("auto_label"),
+        F.when(source == "src7", float("nan")).otherwise(F.col("auto_confidence")).alias("auto_confidence"),
+    )
+
+
+@query("Q1_check_completeness")
+def check_completeness(spark: SparkSession, sf: str) -> DataFrame:
+    return _flags(rowchecks.check_completeness(_damaged(spark, sf)))
+
+
+@query("Q2_check_confidence")
+def check_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    return _flags(rowchecks.check_confidence(_damaged(spark, sf), 0.25))
+
+
+@query("Q2_check_confidence_values")
+def check_confidence_values(spark: SparkSession, sf: str) -> DataFrame:
+    """The same check over many distinct confidences."""
+    scores = table(spark, sf, "events").select((F.col("value") / 500.0).alias("auto_confidence"))
+    return _flags(rowchecks.check_confidence(scores))
+
+
+@query("Q3_check_label_distribution")
+def check_label_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    return _flags(distribution.check_label_distribution(reviewed(spark, sf)))
+
+
+@query("Q3_check_label_distribution_sources")
+def check_label_distribution_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Twenty classes, one of them pushed to dominance."""
+    pooled = F.when(F.col("lang") == "en", "src0").otherwise(F.col("source"))
+    docs = table(spark, sf, "documents").select(pooled.alias("final_label"))
+    return _flags(distribution.check_label_distribution(docs)).drop("auto_final_agreement_pct")
+
+
+@query("Q3_label_shares")
+def label_share_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return distribution.label_distribution(table(spark, sf, "events"), "event_type")
+
+
+@query("Q3a_gini")
+def gini(spark: SparkSession, sf: str) -> DataFrame:
+    events = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("final_label"))
+    return distribution.check_label_distribution(events).select("n_classes", "gini_coefficient")
+
+
+@query("Q4_cohens_kappa")
+def cohens_kappa(spark: SparkSession, sf: str) -> DataFrame:
+    """Agreement of automatic label and language, per source."""
+    pairs = agreement.confusion_counts(
+        labelled(spark, sf, "lang", "source"), "auto_label", "lang", by=["source"]
+    )
+    return agreement.cohens_kappa(pairs, by=["source"])
+
+
+@query("Q4a_confusion_matrix")
+def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = agreement.confusion_counts(labelled(spark, sf, "lang"), "auto_label", "lang")
+    return agreement.confusion_matrix(pairs, LANGUAGE.labels)
+
+
+@query("Q5_check_inter_annotator")
+def check_inter_annotator(spark: SparkSession, sf: str) -> DataFrame:
+    return _flags(
+        agreement.check_inter_annotator(_auto_as_final(spark, sf), second_annotator(spark, sf))
+    )
+
+
+@query("Q5a_top_conflicts")
+def top_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = agreement.paired_counts(_auto_as_final(spark, sf), second_annotator(spark, sf), "source_id")
+    return agreement.top_conflicts(pairs)
+
+
+def _texts_with_source(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select("text", F.col("source").alias("final_label"))
+
+
+@query("Q6_check_duplicates")
+def check_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return _flags(duplicates.check_duplicates(_texts_with_source(spark, sf)))
+
+
+@query("Q6a_duplicate_label_conflicts")
+def duplicate_label_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    found = duplicates.duplicate_label_conflicts(_texts_with_source(spark, sf))
+    return found.select(F.md5("text_key").alias("key_md5"), "copies", "labels")
+
+
+@query("Q7_check_text_quality")
+def check_text_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("text")
+    return _flags(rowchecks.check_text_quality(spread(docs)))
+
+
+@query("Q8_check_golden_set")
+def check_golden_set(spark: SparkSession, sf: str) -> DataFrame:
+    found = labelled(spark, sf).withColumnRenamed("_id", "source_id")
+    return _flags(golden.check_golden_set(found, gold(spark, sf)))
+
+
+@query("Q8a_per_label_prf")
+def per_label_prf(spark: SparkSession, sf: str) -> DataFrame:
+    found = labelled(spark, sf).withColumnRenamed("_id", "source_id")
+    return golden.per_label_scores(golden.gold_counts(found, gold(spark, sf)))
+
+
+@query("Q9_check_override_analysis")
+def check_override_analysis(spark: SparkSession, sf: str) -> DataFrame:
+    return _flags(overrides.check_override_analysis(reviewed(spark, sf)))
+
+
+@query("Q9a_override_by_band")
+def override_by_band(spark: SparkSession, sf: str) -> DataFrame:
+    return overrides.override_by_band(reviewed(spark, sf))
+
+
+@query("Q9b_override_from_to")
+def override_from_to(spark: SparkSession, sf: str) -> DataFrame:
+    return overrides.override_from_to(reviewed(spark, sf))
+
+
+def _suite(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    table_ = stored(spark, reviewed(spark, sf), "reviewed")
+    return table_, qa_suite.run_checks(table_, 0.2, gold(spark, sf), second_annotator(spark, sf))
+
+
+@query("Q10_run_all_checks")
+def run_all_checks(spark: SparkSession, sf: str) -> DataFrame:
+    _, checks = _suite(spark, sf)
+    return checks.select("ord", "check", "passed", "skipped", F.concat_ws("; ", "issues").alias("issues"))
+
+
+@query("Q11_overall_verdict")
+def overall_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    _, checks = _suite(spark, sf)
+    return qa_suite.overall_verdict(checks)
+
+
+@query("Q12_qa_report_rows")
+def qa_report_rows(spark: SparkSession, sf: str) -> DataFrame:
+    table_, checks = _suite(spark, sf)
+    rows = qa_suite.report_rows(
+        table_, stored(spark, checks, "checks"), gold(spark, sf), second_annotator(spark, sf)
+    )
+    return rows.withColumn("value", numbers.round_exact(F.col("value"), 4))
+
+
+# --- sorts, limits, sets ------------------------------------------------------------------
+
+
+@query("L1_limit_rows")
+def limit_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows after cleaning, in file order; the limit is the operator."""
+    blanked = F.when(F.col("lang") == "de", "  ").otherwise(F.col("text")).alias("text")
+    raw = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), blanked)
+    return readers.clean(raw, limit=150).select("_id", F.md5("_text").alias("text_md5"))
+
+
+@query("L2_topk_labels")
+def topk_labels(spark: SparkSession, sf: str) -> DataFrame:
+    counts = summary.label_counts(table(spark, sf, "documents"), "source")
+    return counts.orderBy(F.desc("count"), "label").limit(5)
+
+
+@query("L3_sorted_distribution")
+def sorted_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    return summary.label_shares(table(spark, sf, "documents"), "lang")
+
+
+@query("U1_label_union")
+def label_union(spark: SparkSession, sf: str) -> DataFrame:
+    return agreement.label_union(labelled(spark, sf, "source"), "auto_label", "source")
+
+
+@query("U2_missing_columns")
+def missing_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Required columns a table lacks, with the rows that would need them."""
+    docs = table(spark, sf, "documents")
+    absent = annotated.missing_columns(docs.columns)
+    return (
+        docs.select(F.explode(F.array(*[F.lit(c) for c in absent])).alias("column"))
+        .groupBy("column")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+
+
+# --- documented extras --------------------------------------------------------------------
+
+
+@query("X1_krippendorff_alpha")
+def krippendorff_alpha(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules, language column and reviewed label as three annotators."""
+    found = labelled(spark, sf, "lang")
+    items = F.col("_id").alias("item")
+    ratings = (
+        found.select(items, F.explode(F.array("auto_label", "lang")).alias("label"))
+        .unionByName(
+            gold(spark, sf).select(F.col("source_id").alias("item"), F.col("final_label").alias("label"))
+        )
+    )
+    return reliability.krippendorff_alpha(ratings)
+
+
+@query("X2_label_drift")
+def label_drift(spark: SparkSession, sf: str) -> DataFrame:
+    events = table(spark, sf, "events").select(F.to_date("ts").cast("string").alias("day"), "event_type")
+    return reliability.label_drift(events, "day", "event_type")
+
+
+@query("X5_review_tiers")
+def review_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    score = F.least(F.col("value") / 50.0, F.lit(1.0))
+    graded = F.when(F.col("event_type") == "view", 0.0).otherwise(score)
+    return (
+        table(spark, sf, "events")
+        .groupBy(bands.review_tier(graded).alias("tier"), bands.review_action(graded).alias("action"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+@query("X6_annotator_scorecard")
+def annotator_scorecard(spark: SparkSession, sf: str) -> DataFrame:
+    done = reviewed(spark, sf).filter("is_human_reviewed").withColumn(
+        "created_at", F.timestamp_seconds(F.col("source_id").cast("long"))
+    )
+    assigned = (
+        decisions(spark, sf)
+        .groupBy("annotator")
+        .agg(F.count(F.lit(1)).alias("n_assigned"))
+        .withColumn("task", F.lit("language"))
+    )
+    return reliability.annotator_scorecard(done, gold(spark, sf), assigned)
+
+
+@query("X7_import_label_studio")
+def import_label_studio(spark: SparkSession, sf: str) -> DataFrame:
+    back = reviewtool.import_review_tasks(spark, _review_tasks(spark, sf))
+    return back.select(
+        "source_id", "auto_label", "auto_confidence", "final_label", "human_override",
+        F.md5("text").alias("text_md5"),
+    )
+
+
+def _drained(spark: SparkSession, stream: DataFrame, purpose: str) -> DataFrame:
+    """Run a stream over all available input into a table and read that table."""
+    folder = shared_folder(spark, purpose)
+    run = (
+        stream.writeStream.format("parquet")
+        .option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
+def _streamed(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return (
+        spark.readStream.schema(table(spark, sf, name).schema)
+        .option("pathGlobFilter", f"{name}.parquet")
+        .parquet(sf)
+    )
+
+
+@query("X8_stream_label")
+def stream_label(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _streamed(spark, sf, "documents").select("doc_id", "text")
+    labelled_stream = label_stream.label_stream(docs, LANGUAGE).drop("text", "auto_signals")
+    return _drained(spark, labelled_stream, "stream")
+
+
+@query("X8_windowed_counts")
+def windowed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Closed hourly windows of the event stream."""
+    events = _streamed(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    counted = label_stream.windowed_label_counts(events, "ts", "event_type")
+    closed = _drained(spark, counted, "windows")
+    start = F.col("window_start")
+    return closed.select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"), "label", "n")
+
+
+# --- flagship -----------------------------------------------------------------------------
+
+
+def flagship(spark: SparkSession, sf: str) -> DataFrame:
+    """Label every document; count and average confidence per label."""
+    return (
+        labelled(spark, sf)
+        .groupBy("auto_label")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            numbers.round_exact(F.avg("auto_confidence"), 4).alias("mean_confidence"),
+        )
+    )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +94,27 @@ def review_tasks(records: DataFrame, task: str) -> DataFrame:
     )
 
 
+def write_json_array(df: DataFrame, path: str) -> str:
+    """Part files that each hold one JSON array, for tools that import arrays.
+
+    Lines are framed as they stream by; nothing is gathered.
+    """
+    keep_nulls = {"ignoreNullFields": "false"}
+    lines = df.select(F.to_json(F.struct("*"), keep_nulls).alias("value"))
+
+    def framed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        opener = "["
+        for batch in batches:
+            if len(batch):
+                starts = [opener] + [","] * (len(batch) - 1)
+                yield pd.DataFrame({"value": [s + v for s, v in zip(starts, batch["value"])]})
+                opener = ","
+        yield pd.DataFrame({"value": ["[]" if opener == "[" else "]"]})
+
+    lines.mapInPandas(framed, "value string").write.text(path)
+    return path
+
+
 def write_review_tasks(records: DataFrame, path: str, task: str) -> str:
     review_tasks(records, task).write.json(path, ignoreNullFields=False)
     return path
