@@ -10,6 +10,7 @@ alternatives that are not plain words stay regexes, behind a cheap necessary con
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, SparkSession
@@ -154,19 +155,24 @@ def known_words(folded: Column, vocabulary: set[str]) -> Column:
     if not vocabulary:
         return F.array().cast("array<string>")
     words = F.split(folded, f"[^{WORD_CLASS}]+")
-    return F.array_intersect(words, F.array(*[F.lit(w) for w in sorted(vocabulary)]))
+    return F.array_intersect(words, _word_list(sorted(vocabulary)))
+
+
+def _word_list(words: Iterable[str]) -> Column:
+    """A constant array of words (the split is folded away at planning)."""
+    return F.split(F.lit(" ".join(words)), " ")
 
 
 def signal_found(signal: Signal, text: Column, folded: Column, words: Column) -> Column:
     """True where the pattern occurs anywhere in the text."""
     options = []
     if signal.words:
-        options.append(F.arrays_overlap(words, F.array(*[F.lit(w) for w in signal.words])))
+        options.append(F.arrays_overlap(words, _word_list(signal.words)))
     if signal.phrases:
         firsts = dict.fromkeys(first for first, _ in signal.phrases)
         phrase_rx = r"\b(" + "|".join(p for _, p in signal.phrases) + r")\b"
         options.append(
-            F.arrays_overlap(words, F.array(*[F.lit(w) for w in firsts]))
+            F.arrays_overlap(words, _word_list(firsts))
             & text.rlike(to_java(phrase_rx))
         )
     if signal.rest:

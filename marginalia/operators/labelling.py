@@ -53,12 +53,11 @@ def _prediction(rule_set: RuleSet, counts: Column, blank: Column) -> Column:
     label_list = F.array(*[F.lit(label) for label in labels])
     # Every possible confidence is known now: matched / declared per label, 4 decimals.
     widest = max(len(ps) for ps in rule_set.rules.values())
-    scores = F.array(
-        *[
-            F.array(*[F.lit(round(min(c / max(len(ps), 1), 1.0), 4)) for c in range(widest + 1)])
-            for ps in rule_set.rules.values()
-        ]
-    )
+    rows = [
+        [f"{round(min(c / max(len(ps), 1), 1.0), 4)}D" for c in range(widest + 1)]
+        for ps in rule_set.rules.values()
+    ]
+    scores = F.expr(f"array({', '.join('array(' + ', '.join(row) + ')' for row in rows)})")
     matched = F.floor(best / k).cast("int")
     label = F.when(found, label_list[position]).otherwise(F.lit(labels[-1]))
     confidence = F.when(found, scores[position][matched]).otherwise(F.lit(0.0))
