@@ -10,6 +10,7 @@ alternatives that are not plain words stay regexes, behind a cheap necessary con
 from __future__ import annotations
 
 import re
+import re._parser as re_parser  # the dialect's own parse tree, to read facts off a pattern
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -51,6 +52,8 @@ _PIECE = re.compile(
     re.DOTALL,
 )
 _ALTERNATION = re.compile(r"\\b\((?:\?:)?([^()\[\]]+)\)\\b")
+# Words in a group between boundaries: followed by \b, a space, or at least one \s or \W.
+_LEADING_WORDS = re.compile(r"\\b\((\w+(?:\|\w+)*)\)(?=\\b|(?:\\[sW]| )(?![*?{]))", re.ASCII)
 _PLAIN_WORD = re.compile(r"[A-Za-z0-9_]+")
 _PHRASE = re.compile(r"([A-Za-z0-9_]+)(?:[ ',%/&-]+[A-Za-z0-9_]+)+")
 # Letters outside ASCII that a case-insensitive ASCII pattern also accepts.
@@ -106,18 +109,21 @@ class Signal:
     words: tuple[str, ...] = ()
     phrases: tuple[tuple[str, str], ...] = ()  # (first word, phrase)
     rest: str | None = None  # Python regex still to be searched for
-    rest_needs: tuple[str, ...] = ()  # one of these substrings must occur for `rest`
+    rest_needs: tuple[str, ...] = ()  # one of these must occur for `rest` (see necessary_parts)
+    rest_words: tuple[str, ...] = ()  # or rather, one of these as a whole word
 
     @property
     def vocabulary(self) -> set[str]:
-        return set(self.words) | {first for first, _ in self.phrases}
+        return {*self.words, *(first for first, _ in self.phrases), *self.rest_words}
 
 
 def split_signal(pattern: str) -> Signal:
     shape = _ALTERNATION.fullmatch(pattern)
     if not shape or r"\|" in shape[1]:
-        return Signal(pattern, rest=pattern)
-    words, phrases, rest, needs = [], [], [], []
+        return Signal(
+            pattern, rest=pattern, rest_needs=necessary_parts(pattern), rest_words=_leading_words(pattern)
+        )
+    words, phrases, rest = [], [], []
     for option in shape[1].split("|"):
         phrase = _PHRASE.fullmatch(option)
         if _PLAIN_WORD.fullmatch(option):
@@ -126,20 +132,73 @@ def split_signal(pattern: str) -> Signal:
             phrases.append((phrase[1].lower(), option))
         else:
             rest.append(option)
-            needs.append(_literal_start(option))
+    left = rf"\b({'|'.join(rest)})\b" if rest else None
     return Signal(
         pattern,
         tuple(dict.fromkeys(words)),
         tuple(phrases),
-        rf"\b({'|'.join(rest)})\b" if rest else None,
-        tuple(needs) if all(len(n) > 1 for n in needs) else (),
+        left,
+        necessary_parts(left) if left else (),
     )
 
 
-def _literal_start(option: str) -> str:
-    """The plain characters every match of ``option`` begins with."""
-    run = re.match(r"[A-Za-z0-9_ ]*", option)[0]
-    return run[:-1].lower() if option[len(run) : len(run) + 1] in set("?*{") else run.lower()
+def _leading_words(pattern: str) -> tuple[str, ...]:
+    """Whole words, one of which starts every match; empty where that is not certain."""
+    lead = _LEADING_WORDS.match(pattern)
+    if not lead or "|" in re.sub(r"\([^()]*\)", "", pattern):
+        return ()
+    return tuple(dict.fromkeys(lead[1].lower().split("|")))
+
+
+def necessary_parts(pattern: str) -> tuple[str, ...]:
+    """Parts of which every match contains at least one; empty where nothing is certain.
+
+    A part is a lower-case ASCII substring, or "x-y" (three characters, x and y caseless
+    and outside ASCII) for some character between x and y. Finding a substring is far cheaper than a
+    regex scan, and most texts hold none of them.
+    """
+    return _necessary(re_parser.parse(pattern, re.IGNORECASE))
+
+
+def _necessary(tree: Iterable) -> tuple[str, ...]:
+    candidates: list[tuple[str, ...]] = []
+    run = ""
+    for op, value in [*tree, (None, None)]:
+        if op is re_parser.LITERAL and value < 128:
+            run += chr(value).lower()
+            continue
+        candidates.append((run,) if run else ())
+        run = ""
+        if op is re_parser.SUBPATTERN:
+            candidates.append(_necessary(value[-1]))
+        elif op in (re_parser.MAX_REPEAT, re_parser.MIN_REPEAT) and value[0] > 0:
+            candidates.append(_necessary(value[2]))
+        elif op is re_parser.BRANCH:
+            branches = [_necessary(branch) for branch in value[1]]
+            candidates.append(tuple(p for b in branches for p in b) if all(branches) else ())
+        elif op is re_parser.IN:
+            candidates.append(_span(value))
+    certain = [c for c in candidates if c]
+    return max(certain, key=lambda parts: (min(map(len, parts)), -len(parts)), default=())
+
+
+def _span(members: Iterable) -> tuple[str, ...]:
+    """The range around a class of single, caseless, non-ASCII characters."""
+    members = list(members)
+    if any(op is not re_parser.LITERAL or value < 128 for op, value in members):
+        return ()
+    chars = sorted(chr(value) for _, value in members)
+    if any(c.lower() != c or c.upper() != c for c in chars):
+        return ()
+    return (f"{chars[0]}-{chars[-1]}",)
+
+
+def _may_match(parts: tuple[str, ...], folded: Column) -> Column:
+    possible = F.lit(False)
+    for part in parts:
+        is_range = len(part) == 3 and part[1] == "-" and not part.isascii()
+        possible = possible | (folded.rlike(f"[{part}]") if is_range else folded.contains(part))
+    return possible
 
 
 def fold_case(text: Column) -> Column:
@@ -177,11 +236,10 @@ def signal_found(signal: Signal, text: Column, folded: Column, words: Column) ->
         )
     if signal.rest:
         found = text.rlike(to_java(signal.rest))
-        if signal.rest_needs:
-            possible = F.lit(False)
-            for literal in signal.rest_needs:
-                possible = possible | folded.contains(literal)
-            found = possible & found
+        if signal.rest_words:
+            found = F.arrays_overlap(words, _word_list(signal.rest_words)) & found
+        elif signal.rest_needs:
+            found = _may_match(signal.rest_needs, folded) & found
         options.append(found)
     result = options[0]
     for option in options[1:]:

@@ -34,7 +34,8 @@ def strip(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return text.isNull() | (strip(text) == "")
+    # Trimming one end is enough, and stops at the first character that is not blank.
+    return text.isNull() | (F.ltrim(text, F.lit(WHITESPACE_CHARS)) == "")
 
 
 def normalise(text: Column) -> Column:

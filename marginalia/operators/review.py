@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marginalia.functions.numbers import percent
 from marginalia.operators.records import AUTO_ANNOTATOR, record_fields
+from marginalia.sources.layout import small_enough
 from marginalia.sources.rules import RuleSet
 
 ACCEPT, SKIP, QUIT = "", "s", "q"
@@ -58,13 +59,19 @@ def apply_reviews(
 ) -> DataFrame:
     """Records with decisions applied; items without one stay automatic.
 
-    Accepting and skipping both keep the automatic label and count as reviewed. The
-    decision side holds one row per item and is left to the planner: broadcast when its
-    measured size allows, otherwise sort-merge with adaptive skew splitting.
+    Accepting and skipping both keep the automatic label and count as reviewed.
+
+    Human decisions are few next to the texts. Where the decisions table is within the
+    broadcast limit, so is what is left of it (at most one row each), and the texts stay
+    where they are; saying so up front matters, as the planner's own estimate for a
+    derived table is too high and the texts would be shuffled before it could learn
+    better. Beyond the limit it is a sort-merge join with adaptive skew splitting.
     """
     chosen = effective_decisions(decisions, rule_set.labels).withColumnsRenamed(
         {"source_id": "__id", "annotator": "__who", "time_sec": "__took", "choice": "__choice"}
     )
+    if small_enough(decisions):
+        chosen = F.broadcast(chosen)
     joined = labelled.join(chosen, F.col(id_col).cast("string") == F.col("__id"), "left")
     reviewed = F.col("__id").isNotNull()
     return record_fields(

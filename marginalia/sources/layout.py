@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame
 # Default size of one file split in Spark.
 ONE_SPLIT = 128 * 1024 * 1024
 
+# Spark's default broadcast limit, where the session spells its own with a unit.
+BROADCAST_LIMIT = 10 * 1024 * 1024
+
 
 def planned_bytes(df: DataFrame) -> int | None:
     """Spark's own size estimate of a DataFrame, None where it is not to be had."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     except Exception:  # noqa: BLE001 - e.g. a remote session without a JVM handle
         return None
 
@@ -28,3 +31,11 @@ def spread(df: DataFrame) -> DataFrame:
     if size is None or size > ONE_SPLIT:
         return df
     return df.repartition(spark.sparkContext.defaultParallelism)
+
+
+def small_enough(df: DataFrame) -> bool:
+    """Whether the planner would broadcast a table of this estimated size."""
+    size = planned_bytes(df)
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower()
+    limit_bytes = int(limit.rstrip("b")) if limit.rstrip("b").lstrip("-").isdigit() else BROADCAST_LIMIT
+    return size is not None and size <= limit_bytes
