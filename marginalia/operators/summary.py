@@ -105,8 +105,9 @@ def annotation_summary(records: DataFrame) -> DataFrame:
     final_level, auto_level, total_level = 1, 2, 3
     at_total = F.col("level") == total_level
 
-    def total(name: str):
-        return F.max(F.when(at_total, F.col(name))).alias(name)
+    def total(name: str, empty: float | None = 0):
+        # An empty run has no row at any level.
+        return F.coalesce(F.max(F.when(at_total, F.col(name))), F.lit(empty)).alias(name)
 
     def counts(level: int, label: str):
         entry = F.struct(label, "total_records")
@@ -116,7 +117,7 @@ def annotation_summary(records: DataFrame) -> DataFrame:
         F.current_timestamp().alias("generated_at"),
         F.lit(__version__).alias("pipeline_version"),
         total("total_records"),
-        total("task"),
+        total("task", None),
         counts(final_level, "final_label").alias("label_distribution"),
         counts(auto_level, "auto_label").alias("auto_label_distribution"),
         F.struct(*[total(c) for c in ("mean", "median", "min", "max", "pct_zero")]).alias("confidence_stats"),
