@@ -42,16 +42,12 @@ class Check:
 
     def result(self) -> Column:
         """The same row as a struct of RESULT_FIELDS, figures folded into long metrics."""
-        metrics = F.array(
-            *[
-                F.struct(
-                    F.lit(self.sections.get(name, "stats")).alias("section"),
-                    F.lit(name).alias("metric"),
-                    F.col(name).cast("double").alias("value"),
-                )
-                for name in self.figures
-            ]
-        ).cast("array<struct<section:string,metric:string,value:double>>")
+        rows = ", ".join(
+            f"struct('{self.sections.get(name, 'stats')}', '{name}', cast({name} as double))"
+            for name in self.figures
+        )
+        shape = "array<struct<section:string,metric:string,value:double>>"
+        metrics = F.expr(f"cast(array({rows}) as {shape})")
         return F.struct(F.lit(self.name).alias("check"), *self._verdict(), metrics.alias("metrics"))
 
     def _verdict(self) -> list[Column]:

@@ -10,26 +10,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.functions.numbers import percent, thousands
-from marginalia.functions.text import normalise, text_digest
+from marginalia.functions.text import normalise, sort_head, text_digest
 from marginalia.operators.checks import Check, when_any
+from marginalia.operators.once import compute_once
+from marginalia.sources.paths import stored
 
 # Fixed value: how many conflicting texts a check reports.
 SHOWN_CONFLICTS = 5
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    """label, text_key, digest and head (text order in a number) of every row."""
+    normal = df.select(normalise(F.col("text")).alias("key"), F.col("final_label").alias("label"))
+    key = F.col("key")
+    return compute_once(
+        normal, ["label"], {"text_key": key, "digest": text_digest(key), "head": sort_head(key)}
+    )
+
+
 def duplicate_groups(df: DataFrame) -> DataFrame:
-    """digest, copies, conflicting: one row per distinct normalised text.
+    """digest, copies, conflicting, head: one row per distinct normalised text.
 
     Labels are compared by their 64-bit hash, which keeps the aggregate in fixed-width
     buffers (hash, not sort, aggregation).
     """
-    label = F.xxhash64("final_label")
+    label = F.xxhash64("label")
     return (
-        df.select(text_digest(normalise(F.col("text"))).alias("digest"), label.alias("label"))
+        _keyed(df)
         .groupBy("digest")
         .agg(
             F.count(F.lit(1)).alias("copies"),
-            (F.min("label") != F.max("label")).alias("conflicting"),
+            (F.min(label) != F.max(label)).alias("conflicting"),
+            F.min("head").alias("head"),
         )
     )
 
@@ -73,16 +85,18 @@ def check_duplicates(df: DataFrame) -> DataFrame:
 def duplicate_label_conflicts(df: DataFrame, shown: int = SHOWN_CONFLICTS) -> DataFrame:
     """The first conflicting texts in key order: text_key, copies, labels.
 
-    Conflicts are found on digests alone; only texts of conflicting groups are fetched,
-    by a semi join (a hot text is split by the adaptive skew join) and a second
-    aggregate that combines map-side.
+    Conflicts are found on digests alone and kept as a small table of known size. Their
+    smallest heads say how far into the text order the answer can reach, so only rows up
+    to there are read as texts, and only those of conflicting digests go on; whatever
+    ties at that head is settled by the full text. A hot text is combined map-side.
     """
-    conflicts = duplicate_groups(df).filter("conflicting").select("digest")
-    keyed = df.select(
-        normalise(F.col("text")).alias("text_key"), F.col("final_label").alias("label")
-    ).withColumn("digest", text_digest(F.col("text_key")))
+    conflicts = stored(duplicate_groups(df).filter("conflicting").select("digest", "head"), "conflicts")
+    reach = conflicts.orderBy("head").limit(shown).agg(F.max("head")).scalar()
+    candidates = conflicts.filter(F.col("head") <= reach).select("digest")
     per_label = (
-        keyed.join(conflicts, "digest", "left_semi")
+        _keyed(df)
+        .filter(F.col("head") <= reach)
+        .join(candidates, "digest", "left_semi")
         .groupBy("text_key", "label")
         .agg(F.count(F.lit(1)).alias("n"))
     )

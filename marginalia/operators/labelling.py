@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from marginalia.functions.patterns import fold_case, known_words, signal_found
 from marginalia.functions.text import is_blank
+from marginalia.operators.once import compute_once
 from marginalia.sources.rules import RuleSet
 
 UNKNOWN_LABEL = "Unknown"
@@ -82,13 +83,9 @@ def predict(df: DataFrame, rule_sets: Sequence[RuleSet], text_col: str = "text")
     folded = df.select(*kept, fold_case(text).alias("__folded"))
     split = folded.withColumn("__words", known_words(F.col("__folded"), vocabulary))
     counts = _count_arrays(rule_sets, text, F.col("__words"), F.col("__folded"))
-    # A one-row generator instead of a plain projection: the optimizer copies projected
-    # expressions into every later filter or column that mentions them, which would scan
-    # the text again each time. Generated columns are computed once.
-    once = F.struct(
-        is_blank(text).alias("__blank"), *[c.alias(f"__counts_{i}") for i, c in enumerate(counts)]
+    counted = compute_once(
+        split, kept, {"__blank": is_blank(text), **{f"__counts_{i}": c for i, c in enumerate(counts)}}
     )
-    counted = split.select(*kept, F.inline(F.array(once)))
     return counted.select(
         *kept,
         *[

@@ -31,11 +31,10 @@ from marginalia.operators import (
 )
 from marginalia.operators.checks import Check
 from marginalia.plans import qa_suite
-from marginalia.plans.label_job import stored
 from marginalia.schemas import RECORD_FIELDS
 from marginalia.sources import annotated, readers, reviewtool, rules, samples, writers
 from marginalia.sources.layout import spread
-from marginalia.sources.paths import shared_folder
+from marginalia.sources.paths import shared_folder, stored
 from marginalia.sources.vocabulary import BUILT_IN_RULES, LANGUAGE_RULES
 from marginalia.streaming import label_stream
 
@@ -361,9 +360,9 @@ def export_dispatch(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("K6_sink_qa_results")
 def sink_qa_results(spark: SparkSession, sf: str) -> DataFrame:
-    table_ = stored(spark, reviewed(spark, sf), "reviewed")
+    table_ = stored(reviewed(spark, sf), "reviewed")
     truth, other = gold(spark, sf), second_annotator(spark, sf)
-    checks = stored(spark, qa_suite.run_checks(table_, 0.2, truth, other), "checks")
+    checks = stored(qa_suite.run_checks(table_, 0.2, truth, other), "checks")
     details = qa_suite.label_metrics(table_, truth, other)
     paths = writers.write_check_results(checks, details, shared_folder(spark, "qa"), "documents")
     return spark.read.schema("check string, passed boolean, skipped boolean, input string").json(
@@ -792,7 +791,7 @@ def top_conflicts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _texts_with_source(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("text", F.col("source").alias("final_label"))
+    return spread(table(spark, sf, "documents").select("text", F.col("source").alias("final_label")))
 
 
 @query("Q6_check_duplicates")
@@ -840,7 +839,7 @@ def override_from_to(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _suite(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    table_ = stored(spark, reviewed(spark, sf), "reviewed")
+    table_ = stored(reviewed(spark, sf), "reviewed")
     return table_, qa_suite.run_checks(table_, 0.2, gold(spark, sf), second_annotator(spark, sf))
 
 
@@ -860,7 +859,7 @@ def overall_verdict(spark: SparkSession, sf: str) -> DataFrame:
 def qa_report_rows(spark: SparkSession, sf: str) -> DataFrame:
     table_, checks = _suite(spark, sf)
     rows = qa_suite.report_rows(
-        table_, stored(spark, checks, "checks"), gold(spark, sf), second_annotator(spark, sf)
+        table_, stored(checks, "checks"), gold(spark, sf), second_annotator(spark, sf)
     )
     return rows.withColumn("value", numbers.round_exact(F.col("value"), 4))
 

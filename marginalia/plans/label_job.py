@@ -11,7 +11,7 @@ from marginalia.operators.review import apply_reviews
 from marginalia.operators.rowchecks import LOW
 from marginalia.plans.qa_suite import label_metrics, run_checks
 from marginalia.sources.annotated import scan_annotated, scan_gold
-from marginalia.sources.paths import shared_folder
+from marginalia.sources.paths import stored
 from marginalia.sources.readers import load
 from marginalia.sources.rules import resolve_rules, scan_rules
 from marginalia.sources.writers import export, write_check_results
@@ -40,17 +40,6 @@ def label_file(
     return export(spark, records, folder, rule_set, mode)
 
 
-def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
-    """Write a table once to shared storage and read it back.
-
-    For results that several jobs use: they survive lost executors and each reader
-    fetches only the columns it asks for.
-    """
-    folder = shared_folder(spark, purpose)
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
-
-
 def check_file(
     spark: SparkSession,
     path: str,
@@ -61,10 +50,10 @@ def check_file(
     threshold: float = LOW,
 ) -> DataFrame:
     """Check an annotated CSV, write check rows and metrics, return the check rows."""
-    table = stored(spark, scan_annotated(spark, path), "annotated")
+    table = stored(scan_annotated(spark, path), "annotated")
     gold = scan_gold(spark, gold_path) if gold_path else None
     other = scan_annotated(spark, other_path) if other_path else None
-    checks = stored(spark, run_checks(table, threshold, gold, other), "checks")
+    checks = stored(run_checks(table, threshold, gold, other), "checks")
     write_check_results(checks, label_metrics(table, gold, other), folder, path.rsplit("/", 1)[-1])
     return checks
 

@@ -33,6 +33,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(spark.sparkContext.defaultParallelism)
 
 
+def split_bound(df: DataFrame) -> int | None:
+    """At most how many file splits a scanned DataFrame has, None where unknown."""
+    size = planned_bytes(df)
+    return None if size is None else size // (ONE_SPLIT // 4) + 2 * len(df.inputFiles())
+
+
 def small_enough(df: DataFrame) -> bool:
     """Whether the planner would broadcast a table of this estimated size."""
     size = planned_bytes(df)

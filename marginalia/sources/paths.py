@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def require_path(spark: SparkSession, path: str) -> None:
@@ -33,3 +33,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
     return f"{base.rstrip('/')}/marginalia-{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table once to shared storage and read it back.
+
+    For results that several jobs use: they survive lost executors, each reader fetches
+    only the columns it asks for, and the planner knows their true size.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark, purpose)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marginalia.functions.text import strip
+from marginalia.sources.layout import split_bound
 from marginalia.sources.paths import require_path, suffix_of
 
 # Accepted column names, best first.
@@ -16,6 +17,9 @@ TEXT_COLUMNS = [
 ]
 ID_COLUMNS = ["id", "review_id", "post_id", "comment_id", "item_id"]
 
+# Splits of some 200 bytes each that are still broadcast (about 40 MB).
+MAX_BROADCAST_SPLITS = 200_000
+
 
 def _all_text(df: DataFrame) -> DataFrame:
     """Every column as string, missing as empty."""
@@ -116,7 +120,11 @@ def _split_offsets(df: DataFrame) -> DataFrame:
     before = F.sum("__rows").over(
         Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    return splits.select("__file", "__block", "__first", F.coalesce(before, F.lit(0)).alias("__before"))
+    offsets = splits.select("__file", "__block", "__first", F.coalesce(before, F.lit(0)).alias("__before"))
+    # One short row per split. Within the bound, tell the planner: its own estimate is that
+    # of the whole table, and it would shuffle the texts to meet these rows.
+    bound = split_bound(df)
+    return F.broadcast(offsets) if bound is not None and bound <= MAX_BROADCAST_SPLITS else offsets
 
 
 def _number_rows(df: DataFrame, name: str) -> DataFrame:
