@@ -24,15 +24,20 @@ def label_distribution(df: DataFrame, label_col: str = "final_label") -> DataFra
 def _ranked_classes(df: DataFrame, label_col: str, auto_col: str | None) -> DataFrame:
     agree = F.count_if(F.col(auto_col) == F.col(label_col)) if auto_col else F.lit(None).cast("long")
     counts = df.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"), agree.alias("agree"))
-    every = Window.partitionBy()
-    return counts.select(
+    # Windows here run over one row per label, after aggregation.
+    every, ascending = Window.partitionBy(), Window.orderBy("n", "label")
+    ranked = counts.select(
         "label",
         "n",
         "agree",
         F.sum("n").over(every).alias("total"),
         F.count(F.lit(1)).over(every).alias("k"),
-        F.row_number().over(Window.orderBy("n", "label")).alias("rank"),
+        F.row_number().over(ascending).alias("rank"),
     )
+    # Summed in rank order, so the last digits do not depend on how rows arrive.
+    weight = F.col("rank") * ratio(F.col("n"), F.col("total"))
+    upto = ascending.rowsBetween(Window.unboundedPreceding, 0)
+    return ranked.withColumn("ranked_share", F.sum(weight).over(upto))
 
 
 def distribution_check() -> Check:
@@ -59,7 +64,7 @@ def distribution_check() -> Check:
             "gini": F.coalesce(
                 F.when(
                     F.max("k") > 1,
-                    (2 * F.sum(F.col("rank") * ratio(n, total)) - (F.max("k") + 1)) / F.max("k"),
+                    (2 * F.max("ranked_share") - (F.max("k") + 1)) / F.max("k"),
                 ),
                 F.lit(0.0),
             ),

@@ -189,12 +189,12 @@ def confidence(src: str, threshold: float) -> str:
 def label_check(src: str) -> str:
     """src: relation with final_label and auto_label."""
     return f"""SELECT 'Label Distribution' AS "check", count(*) AS n_classes,
-      {r('CASE WHEN count(*) > 1 THEN (2 * sum(i * CAST(n AS DOUBLE) / total) - (count(*) + 1)) / count(*) ELSE 0 END', 4)}
+      {r('CASE WHEN count(*) > 1 THEN (2 * list_sum(list(i * (CAST(n AS DOUBLE) / total) ORDER BY i)) - (count(*) + 1)) / count(*) ELSE 0 END', 4)}
         AS gini_coefficient,
       {pct('sum(agree)', 'sum(n)')} AS auto_final_agreement_pct,
       count(*) FILTER (WHERE share > 500.0 / k) AS imbalance_flags,
       count(*) FILTER (WHERE share > 500.0 / k) = 0 AND
-        (CASE WHEN count(*) > 1 THEN (2 * sum(i * CAST(n AS DOUBLE) / total) - (count(*) + 1)) / count(*) ELSE 0 END) < 0.6
+        (CASE WHEN count(*) > 1 THEN (2 * list_sum(list(i * (CAST(n AS DOUBLE) / total) ORDER BY i)) - (count(*) + 1)) / count(*) ELSE 0 END) < 0.6
         AS passed,
       coalesce(string_agg(CASE WHEN share > 500.0 / k THEN '''' || label || ''' is heavily dominant (' ||
         format('{{:.1f}}', share) || '% vs expected ' || format('{{:.1f}}', 100.0 / k) || '%)' END, '; ' ORDER BY n DESC), '')
@@ -279,7 +279,7 @@ def golden_check(pairs: str) -> str:
     return f"""SELECT 'Golden Set Validation' AS "check", *, accuracy_pct >= 70 AS passed,
       CASE WHEN accuracy_pct < 70 THEN 'Accuracy ' || {number('accuracy_pct')} || '% below 70% target' ELSE '' END AS issues
     FROM (SELECT (SELECT count(*) FROM {pairs}) AS n_validated, {accuracy} AS accuracy_pct,
-      {r('avg(f1)', 4)} AS macro_f1 FROM ({prf(pairs)}))"""
+      {r('list_sum(list(f1 ORDER BY label)) / count(*)', 4)} AS macro_f1 FROM ({prf(pairs)}))"""
 
 
 def kappa(pairs: str, by: str = "") -> str:

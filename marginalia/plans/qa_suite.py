@@ -56,7 +56,7 @@ def run_checks(
     else:
         parts.append(results(df.sparkSession.range(1), overrides.skipped_override_check()))
     if gold is not None:
-        scores = golden.per_label_scores(golden.gold_counts(df, gold, id_col))
+        scores = golden.per_label_scores(golden.gold_counts(df, gold, id_col), summed=True)
         parts.append(_grouped(scores, golden.golden_check()))
     if other is not None:
         pairs = agreement.paired_counts(df, other, id_col)
