@@ -67,20 +67,19 @@ def label_drift(df: DataFrame, batch_col: str, label_col: str) -> DataFrame:
     counts = df.groupBy(F.col(batch_col).alias("batch"), F.col(label_col).alias("label")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    # All windows run over batch-and-label counts, after aggregation.
-    per_batch = F.sum("n").over(Window.partitionBy("batch"))
-    per_label = F.sum("n").over(Window.partitionBy("label"))
-    everything = F.sum("n").over(Window.partitionBy())
-    shares = counts.select(
-        "batch",
-        "n",
-        ratio(F.col("n"), per_batch).alias("here"),
-        ratio(per_label, everything).alias("overall"),
-    )
-    gap = F.sum(F.abs(F.col("here") - F.col("overall")) - F.col("overall")) + 1
-    return shares.groupBy("batch").agg(
-        F.sum("n").alias("n"), round_exact(gap / 2, 4).alias("drift")
+    # All windows run over batch-and-label counts, after aggregation. Whole numbers up to
+    # the final division, so the result does not depend on the order of summing.
+    whole = "decimal(18,0)"
+    here = F.col("n").cast(whole)
+    in_batch = F.sum("n").over(Window.partitionBy("batch")).cast(whole)
+    of_label = F.sum("n").over(Window.partitionBy("label")).cast(whole)
+    total = F.sum("n").over(Window.partitionBy()).cast(whole)
+    expected = of_label * in_batch
+    gaps = counts.select(
+        "batch", "n", (F.abs(here * total - expected) - expected).alias("gap"), (in_batch * total).alias("scale")
     )
+    distance = (F.sum("gap") + F.max("scale")).cast("double") / (2 * F.max("scale")).cast("double")
+    return gaps.groupBy("batch").agg(F.sum("n").alias("n"), round_exact(distance, 4).alias("drift"))
 
 
 def annotator_scorecard(

@@ -586,11 +586,12 @@ def sql() -> dict[str, str]:
           SELECT (SELECT count(*) FROM m) AS n_items, CAST(sum(n) AS BIGINT) AS n_values,
             {r('1 - (sum(n) - 1) * (SELECT d FROM o) / (sum(n) * sum(n) - sum(n * n))', 4)} AS alpha FROM c""",
         "X2_label_drift": f"""WITH d AS (SELECT strftime(ts, '%Y-%m-%d') AS batch, event_type AS label FROM events),
-          p AS (SELECT label, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM d) AS overall FROM d GROUP BY 1),
-          b AS (SELECT batch, count(*) AS n FROM d GROUP BY 1),
-          s AS (SELECT batch, label, count(*) AS n FROM d GROUP BY ALL)
-          SELECT b.batch, any_value(b.n) AS n,
-            {r('sum(abs(coalesce(CAST(s.n AS DOUBLE) / b.n, 0) - p.overall)) / 2', 4)} AS drift
+          p AS (SELECT label, CAST(count(*) AS HUGEINT) AS n, (SELECT count(*) FROM d) AS total FROM d GROUP BY 1),
+          b AS (SELECT batch, CAST(count(*) AS HUGEINT) AS n FROM d GROUP BY 1),
+          s AS (SELECT batch, label, CAST(count(*) AS HUGEINT) AS n FROM d GROUP BY ALL)
+          SELECT b.batch, CAST(any_value(b.n) AS BIGINT) AS n,
+            {r('CAST(sum(abs(coalesce(s.n, 0) * p.total - p.n * b.n)) AS DOUBLE) / CAST(any_value(2 * b.n * p.total) AS DOUBLE)', 4)}
+              AS drift
           FROM b CROSS JOIN p LEFT JOIN s ON s.batch = b.batch AND s.label = p.label GROUP BY b.batch""",
         "X5_review_tiers": """SELECT CASE WHEN c = 0 THEN '0%' WHEN c < 0.2 THEN '1–20%' WHEN c < 0.5 THEN '20–50%'
             WHEN c < 0.8 THEN '50–80%' ELSE '80–100%' END AS tier,
