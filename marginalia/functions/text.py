@@ -45,7 +45,7 @@ def normalise(text: Column) -> Column:
 
 def text_length(text: Column) -> Column:
     """Length in code points."""
-    return F.char_length(text)
+    return F.char_length(text).cast("long")
 
 
 def is_shouting(text: Column) -> Column:

@@ -74,7 +74,7 @@ def distribution_check() -> Check:
             "n_classes": classes,
             "gini_coefficient": round_exact(gini, 4),
             "auto_final_agreement_pct": agreement,
-            "imbalance_flags": F.size(flags),
+            "imbalance_flags": F.size(flags).cast("long"),
         },
         passed=(F.size(flags) == 0) & (gini < MAX_GINI),
         issues=flags["m"],

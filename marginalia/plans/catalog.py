@@ -144,7 +144,7 @@ def _source_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _digest_rows(df: DataFrame) -> DataFrame:
-    return df.select("id", "lang", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+    return df.select("id", "lang", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
 def _csv_round_trip(spark: SparkSession, sf: str, suffix: str, sep: str) -> str:
@@ -393,7 +393,7 @@ def detect_id_col(spark: SparkSession, sf: str) -> DataFrame:
 def clean_text(spark: SparkSession, sf: str) -> DataFrame:
     padded = F.concat(F.lit(PAD_LEFT), "text", F.lit(PAD_RIGHT))
     return table(spark, sf, "documents").select(
-        "doc_id", F.md5(t.strip(padded)).alias("text_md5"), F.length(t.strip(padded)).alias("n")
+        "doc_id", F.md5(t.strip(padded)).alias("text_md5"), t.text_length(t.strip(padded)).alias("n")
     )
 
 

@@ -231,7 +231,7 @@ def text_quality(src: str) -> str:
     return f"""SELECT 'Text Quality' AS "check", *,
       too_short = 0 AND too_long = 0 AND encoding_issues = 0 AS passed, {issues} AS issues
     FROM (SELECT {r('avg(length(text))', 1)} AS mean_length, {r('median(length(text))', 1)} AS median_length,
-      CAST(min(length(text)) AS INTEGER) AS min_length, CAST(max(length(text)) AS INTEGER) AS max_length,
+      min(length(text)) AS min_length, max(length(text)) AS max_length,
       count(*) FILTER (WHERE length(text) < 5) AS too_short,
       count(*) FILTER (WHERE length(text) > 5000) AS too_long,
       count(*) FILTER (WHERE contains(text, '�')) AS encoding_issues,
