@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,10 +29,15 @@ def suffix_of(path: str) -> str:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    The cluster names its shared storage in ``spark.checkpoint.dir``; only where that is
-    unset (tests on one machine) does a temporary folder stand in.
+    The cluster names its shared storage in ``spark.checkpoint.dir``. Where that is unset, a
+    session on one machine (a ``local`` master) uses that machine's temporary folder; any
+    other is refused, because each executor would write to a disk of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/marginalia-{purpose}-{uuid.uuid4().hex}"
 
 

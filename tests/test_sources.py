@@ -7,7 +7,7 @@ from marginalia.operators.labelling import label
 from marginalia.operators.records import label_batch
 from marginalia.operators.summary import annotation_summary
 from marginalia.plans import label_job
-from marginalia.sources import annotated, readers, reviewtool, rules, samples, writers
+from marginalia.sources import annotated, paths, readers, reviewtool, rules, samples, writers
 from marginalia.sources.vocabulary import BUILT_IN_RULES, SAMPLE_TEXTS, SHOP_RULES
 
 
@@ -246,3 +246,21 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "qa" / "checks")).count() == 8
     row = label_job.compare_annotators(spark, out["csv"], out["csv"]).first()
     assert row["cohens_kappa"] == 1.0 and row["exact_agreement_pct"] == 100.0
+
+
+class _Session:
+    """Stands in for a session with the given settings."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self._settings = {"spark." + k.replace("_", "."): v for k, v in settings.items()}
+
+    def get(self, key, default=None):
+        return self._settings.get(key, default)
+
+
+def test_a_cluster_without_shared_storage_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        paths.shared_folder(_Session(master="spark://host:7077"), "x")
+    assert paths.shared_folder(_Session(master="yarn", checkpoint_dir="hdfs://x/shared"), "x").startswith("hdfs://x/shared/")
+    assert paths.shared_folder(_Session(master="local[2]"), "x")
