@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import binary_ids
+from marginalia.llm import binary_ids, exact_dedup, url_filter
 from marginalia.sources.paths import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
@@ -25,15 +26,79 @@ def registered() -> dict[str, Query]:
 
 
 def sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# Host and path rules.
+URL_RULES = [
+    url_filter.listed("org", "/", allow=True),
+    url_filter.listed("example.org", "/es/", allow=False),
+    url_filter.listed("example.org", "/en/1", allow=False),
+    url_filter.listed("com", "/fr/", allow=True),
+    url_filter.listed("com", "/de/", allow=False),
+]
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    judged = url_filter.judge_urls(table(spark, sf, "pages"), URL_RULES + url_filter.UNWANTED)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+_SQL["op1_url_filter"] = f"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
+  FROM pages
+), parts AS (
+  SELECT page_id,
+    translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(r, length(regexp_extract(r, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM rest
+), rules(rule_host, rule_path, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), best AS (
+  SELECT page_id, host, path,
+    arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    arg_max(rules.verdict, length(rule_host || rule_path)) AS verdict
+  FROM parts LEFT JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY page_id, host, path
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN verdict IS NOT NULL THEN verdict
+       WHEN regexp_matches(host || path, '(?i)(^|[^A-Za-z0-9])({"|".join(url_filter.UNWANTED_WORDS)})($|[^A-Za-z0-9])')
+       THEN 'block' ELSE 'allow' END AS verdict
+FROM best
+"""
+
+
 @query
 def op2_binary_ids(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_folder(spark, "ids")
     binary_ids.write_ids(table(spark, sf, "documents"), folder, end_id=2)
     return binary_ids.read_ids(spark, folder, with_ids=False)
+
+
+@query
+def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf, "documents"))
+
+
+_SQL["op5_exact_dedup"] = r"""
+WITH bare AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256,
+    length(coalesce(text, '')) AS n_chars
+  FROM documents
+)
+SELECT doc_id, text_sha256, keep_id, group_size, doc_id = keep_id AS kept FROM (
+  SELECT doc_id, text_sha256,
+    first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id) AS keep_id,
+    count(*) OVER (PARTITION BY text_sha256) AS group_size
+  FROM bare
+)
+"""
