@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import binary_ids, exact_dedup, url_filter
+from marginalia.llm import binary_ids, bpe_stream, exact_dedup, packing, url_filter
 from marginalia.sources.paths import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,14 @@ SELECT doc_id, text_sha256, keep_id, group_size, doc_id = keep_id AS kept FROM (
   FROM bare
 )
 """
+
+
+@query
+def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = packing.encode_pieces(table(spark, sf, "documents"), with_ids=False)
+    return packing.pack(pieces).drop("ids")
+
+
+@query
+def op10_bpe_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe_stream.round_trip_digests(bpe_stream.encode(table(spark, sf, "documents")))
