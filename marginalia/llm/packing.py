@@ -37,8 +37,8 @@ from marginalia.llm.tokens import TOKENIZER, library_encoder
 from marginalia.sources.paths import stored
 
 CAPACITY = 2048
-GROUPS = 128
-LARGE = 1 / 8
+GROUPS = 512
+LARGE = 1 / 3
 # Pieces of one length numbered by one task.
 RANKED_TOGETHER = 500
 

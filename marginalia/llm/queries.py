@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.llm import binary_ids, bpe_stream, exact_dedup, packing, url_filter
+from marginalia.llm import (
+    binary_ids,
+    bpe_stream,
+    exact_dedup,
+    language_id,
+    packing,
+    toxicity,
+    url_filter,
+)
+from marginalia.llm.samples import crc_remainder
 from marginalia.sources.paths import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +122,26 @@ def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_bpe_stream(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_stream.round_trip_digests(bpe_stream.encode(table(spark, sf, "documents")))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held_out = crc_remainder(F.col("doc_id"), 3) == 1
+    model = toxicity.fit(docs, table(spark, sf, "labels").filter(~held_out))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held_out = crc_remainder(F.col("doc_id"), 4) == 2
+    network = language_id.fit(docs.filter(~held_out))
+    found = language_id.identify(docs, network)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
