@@ -12,6 +12,7 @@ from marginalia.llm import (
     bpe_stream,
     exact_dedup,
     language_id,
+    minhash,
     packing,
     toxicity,
     url_filter,
@@ -113,6 +114,11 @@ SELECT doc_id, text_sha256, keep_id, group_size, doc_id = keep_id AS kept FROM (
 """
 
 
+@query
+def op3_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf, "documents"), minhash.Rule(words=2, percent=80))
+
+
 @query
 def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     pieces = packing.encode_pieces(table(spark, sf, "documents"), with_ids=False)
