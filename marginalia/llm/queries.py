@@ -16,6 +16,7 @@ from marginalia.llm import (
     packing,
     toxicity,
     url_filter,
+    winnowing,
 )
 from marginalia.llm.samples import crc_remainder
 from marginalia.sources.paths import shared_folder
@@ -151,3 +152,8 @@ def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
     network = language_id.fit(docs.filter(~held_out))
     found = language_id.identify(docs, network)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_winnowing(spark: SparkSession, sf: str) -> DataFrame:
+    return winnowing.compare_with_next(table(spark, sf, "documents"))
