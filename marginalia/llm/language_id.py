@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -208,9 +209,7 @@ def keep_identified(docs: DataFrame, network: Network | None, min_score: float =
 
 def _accepted(network: Network | None, min_score: float):
     @F.pandas_udf("boolean")
-    def accepted(batches: Iterator) -> Iterator:  # series of texts
-        import pandas as pd
-
+    def accepted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = network.predictor() if network else None
         for texts in batches:
             found = (_one(t, predict, network) for t in texts)

@@ -39,6 +39,8 @@ from marginalia.sources.paths import stored
 COORDINATES = 64
 MATCHES = 36
 PREFIX = COORDINATES - MATCHES + 1
+# Tells texts of one doc_id apart.
+TEXT_HASH = "xxhash64(coalesce(text, ''))"
 # Nodes of a posting list that are compared with one another in one piece of work.
 BLOCK = 256
 HASH_BLOCK = 1 << 20
@@ -105,10 +107,10 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
         if b - a >= words:
             sets.append(np.unique(rolled[a : b - words + 1]))
         elif b > a:
-            whole = hashes[a]
-            for h in hashes[a + 1 : b]:
-                whole = _mix(whole * np.uint64(3)) + h
-            sets.append(_mix(np.array([whole]) + np.uint64(b - a)))
+            whole = hashes[a : a + 1]
+            for i in range(a + 1, b):
+                whole = _mix(whole * np.uint64(3)) + hashes[i : i + 1]
+            sets.append(_mix(whole + np.uint64(b - a)))
         else:
             sets.append(np.zeros(0, np.uint64))
     return sets
@@ -126,7 +128,7 @@ def signatures_of(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-_SIGNED = "doc_id long, n_shingles long, node long, signature array<int>"
+_SIGNED = "doc_id long, text_hash long, n_shingles long, node long, signature array<int>"
 _SETS = "node long, shingles array<long>"
 
 
@@ -137,7 +139,13 @@ def _node(found: np.ndarray) -> int | None:
 
 def _signer(words: int) -> Callable[[Iterator], Iterator]:
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("signature", pa.list_(pa.int32()))]
+        [
+            ("doc_id", pa.int64()),
+            ("text_hash", pa.int64()),
+            ("n_shingles", pa.int64()),
+            ("node", pa.int64()),
+            ("signature", pa.list_(pa.int32())),
+        ]
     )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,6 +156,7 @@ def _signer(words: int) -> Callable[[Iterator], Iterator]:
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("doc_id"),
+                    piece.column("text_hash"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_node(s) for s in sets], pa.int64()),
                     pa.ListArray.from_arrays(ends, pa.array(signed.ravel())),
@@ -343,13 +352,16 @@ def _roots(links: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row.
+    """doc_id, text_hash, n_shingles, component_id, kept of every row.
 
     ``component_id`` is the smallest doc_id that can be reached over links, kept is whether
-    it is the row's own.
+    it is the row's own (of texts of one doc_id in one component, one is kept).
     """
     signed = stored(
-        docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(_signer(rule.words), _SIGNED), "signatures"
+        docs.selectExpr("cast(doc_id as long) as doc_id", "text", f"{TEXT_HASH} as text_hash").mapInArrow(
+            _signer(rule.words), _SIGNED
+        ),
+        "signatures",
     )
     named = signed.filter("n_shingles > 0 and doc_id is not null")
     nodes = stored(
@@ -372,14 +384,27 @@ def near_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     )
     roots = _roots(links.union(more))
     own = nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = stored(own.groupBy("root").agg(F.min("first").alias("component_id")), "least")
-    by_node = stored(own.join(least, "root").select("node", "component_id"), "by-node")
-    found = signed.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    least = own.groupBy("root").agg(F.min(F.struct("first", F.col("node").alias("keeper"))).alias("least"))
+    by_node = own.join(stored(least, "least"), "root").select("node", "least.*")
+    found = signed.join(stored(by_node, "by-node"), "node", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first", "doc_id"))
+    is_first = (F.col("doc_id") == component) & (F.col("node").isNull() | (F.col("node") == F.col("keeper")))
     return found.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        "doc_id", "text_hash", "n_shingles", component.alias("component_id"),
+        F.coalesce(is_first, F.lit(True)).alias("kept"),
+    )
+
+
+def keep_first(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """One document of each component, with all its columns; rows that repeat both id and text
+    of that one all stay, because they are no different texts."""
+    dropped = near_groups(docs, rule).filter(~F.col("kept")).select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")
     )
+    dropped = stored(dropped, "dropped")
+    keyed = docs.withColumn("__hash_here", F.expr(TEXT_HASH))
+    same = (keyed["doc_id"] == dropped["__id"]) & (keyed["__hash_here"] == dropped["__hash"])
+    return keyed.join(dropped, same, "left_anti").select(*docs.columns)
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:

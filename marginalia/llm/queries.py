@@ -14,12 +14,13 @@ from marginalia.llm import (
     language_id,
     minhash,
     packing,
+    token_rollup,
     toxicity,
     url_filter,
     winnowing,
 )
 from marginalia.llm.samples import crc_remainder
-from marginalia.sources.paths import shared_folder
+from marginalia.sources.paths import shared_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,7 +118,7 @@ SELECT doc_id, text_sha256, keep_id, group_size, doc_id = keep_id AS kept FROM (
 
 @query
 def op3_minhash(spark: SparkSession, sf: str) -> DataFrame:
-    return minhash.near_groups(table(spark, sf, "documents"), minhash.Rule(words=2, percent=80))
+    return minhash.near_groups(table(spark, sf, "documents"), minhash.Rule(words=2, percent=80)).drop("text_hash")
 
 
 @query
@@ -157,3 +158,28 @@ def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op8_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     return winnowing.compare_with_next(table(spark, sf, "documents"))
+
+
+@query
+def op9_token_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents come in, toxic ones are taken down, good ones are counted anew without
+    white space around and between words; the first batch is committed twice, as by a retry."""
+    docs = table(spark, sf, "documents")
+    labels = table(spark, sf, "labels")
+    ledger = shared_folder(spark, "token-ledger")
+    counts = stored(token_rollup.count_tokens(docs), "token-counts")
+
+    def of(condition: str) -> DataFrame:
+        return labels.filter(condition).select("doc_id").distinct()
+
+    good = of("toxic = 0 and quality = 1")
+    tidied = docs.join(good, "doc_id").withColumn("text", F.trim(F.regexp_replace("text", r"\s+", " ")))
+    revised = token_rollup.count_tokens(tidied).withColumn("tokenizer", F.concat("tokenizer", F.lit(" tidied")))
+    for batch, changes in (
+        ("1-load", token_rollup.inserts(counts)),
+        ("2-take-down", token_rollup.deletes(counts.join(of("toxic = 1"), "doc_id"))),
+        ("3-recount", token_rollup.revisions(counts.join(good, "doc_id"), revised)),
+        ("1-load", token_rollup.inserts(counts)),
+    ):
+        token_rollup.commit(spark, ledger, batch, changes)
+    return token_rollup.totals(spark, ledger)

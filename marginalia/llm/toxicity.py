@@ -29,6 +29,7 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -281,9 +282,7 @@ def keep_clean(docs: DataFrame, model: Classifier | None, threshold: float = THR
     """Documents, with all their columns, that score below ``threshold``."""
 
     @F.pandas_udf("double")
-    def scores(batches: Iterator) -> Iterator:  # series of texts
-        import pandas as pd
-
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of = model.scorer() if model else lambda _: 0.0
         for texts in batches:
             yield pd.Series([of(t or "") for t in texts], dtype=float)
