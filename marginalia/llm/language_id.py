@@ -39,6 +39,7 @@ PAD = 256
 TEXTS_PER_CLASS = 600
 WINDOWS_PER_TEXT = 3
 EPOCHS = 6
+LEAST_STEPS = 600
 BATCH = 64
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -117,7 +118,7 @@ def train(texts: list[bytes], labels: list[str], seed: int = 0) -> Network | Non
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     weight = len(y) / (len(classes) * np.bincount(y, minlength=len(classes)))
     step = 0
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // len(y)))):
         for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // BATCH)):
             step += 1
             grads = _gradients(params, x[rows], y[rows], weight[y[rows]].astype(np.float32))

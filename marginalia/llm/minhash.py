@@ -11,8 +11,9 @@
    confirmed on the full sets and give components.
 4. Lists with the same hub are taken together. Those whose nodes are all in one component are
    finished. In the others nodes of different components are compared in blocks: by their
-   sizes, by how many of their shingles any other set has, by collisions, and at last by the full
-   sets. Only confirmed links leave the block. Nothing is capped: a long list has more blocks.
+   sizes and collisions first, which leaves few nodes; then by how many of their shingles any
+   other of these sets has, and by the full sets. Only confirmed links leave a block. Nothing
+   is capped: a long list has more blocks.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased. A text with fewer words than a
 shingle has its whole sequence as its only shingle; NULL, empty and blank texts have an empty
@@ -295,44 +296,67 @@ def _shared(sets: DataFrame, percent: int) -> DataFrame:
     ).filter(100 * F.col("shared") >= percent * F.col("size")).drop("size")
 
 
-def _blocks(members: DataFrame, nodes: DataFrame, sets: DataFrame, shared: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, details: DataFrame) -> DataFrame:
     """Every block of a list beside every other: the rows of one are with those of its partner."""
     block = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    details = nodes.select("node", "signature").join(shared, "node").join(sets, "node")
     return members.join(details, "node").withColumn("block", block).withColumn("other", other).select(
         "hub", "class",
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
-        "block", "node", "root", "shared", "signature", "shingles", "is_home",
+        "block", "node", "root", "n_shingles", "is_home",
+        *[c for c in details.columns if c != "node"],
     )
 
 
-def _comparer(percent: int) -> Callable[[pa.Table], pa.Table]:
-    """Confirmed links between the two blocks, one for each node and component it reaches."""
+@dataclass(frozen=True)
+class _Block:
+    """Rows of two blocks as arrays."""
 
-    def compare(table: pa.Table) -> pa.Table:
+    table: pa.Table
+    percent: int
+
+    def pairs(self, shared: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """A row of one block, and those of the other that may be similar to it."""
+        table, percent = self.table, self.percent
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        block, node, root, shared, home = (
-            table.column(c).to_numpy() for c in ("block", "node", "root", "shared", "is_home")
-        )
+        block, root, size, home = (table.column(c).to_numpy() for c in ("block", "root", "n_shingles", "is_home"))
         signed = table.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
-        lists = table.column("shingles").combine_chunks()
-        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        size = np.diff(ends)
-        left = np.flatnonzero(block == low)
         right = np.flatnonzero(block == high)
-        links = []
-        for i in left.tolist():
+        for i in np.flatnonzero(block == low).tolist():
             js = right[right > i] if low == high else right
             js = js[(root[js] != root[i]) & (home[js] | home[i])]
-            together = size[js] + size[i]
             may = 100 * np.minimum(size[js], size[i]) >= percent * np.maximum(size[js], size[i])
-            may &= (100 + percent) * np.minimum(shared[js], shared[i]) >= percent * together
+            if shared is not None:
+                may &= (100 + percent) * np.minimum(shared[js], shared[i]) >= percent * (size[js] + size[i])
             js = js[may]
             js = js[(signed[js] == signed[i]).sum(axis=1) >= MATCHES]
-            if not len(js):
-                continue
+            if len(js):
+                yield i, js
+
+
+def _finder(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Nodes that collide often enough with a node of another component."""
+
+    def find(table: pa.Table) -> pa.Table:
+        found = np.zeros(len(table), bool)
+        for i, js in _Block(table, percent).pairs():
+            found[i] = found[js] = True
+        return table.select(["node"]).filter(pa.array(found))
+
+    return find
+
+
+def _comparer(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Confirmed links between the two blocks, one for each node and component it reaches."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, root, shared = (table.column(c).to_numpy() for c in ("node", "root", "shared"))
+        lists = table.column("shingles").combine_chunks()
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        size = np.diff(ends)
+        links = []
+        for i, js in _Block(table, percent).pairs(shared):
             own = np.sort(flat[ends[i] : ends[i + 1]])
             theirs = np.concatenate([flat[ends[j] : ends[j + 1]] for j in js.tolist()])
             at = np.searchsorted(own, theirs).clip(max=len(own) - 1)
@@ -376,10 +400,17 @@ def near_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     in_pairs = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     links = stored(_confirmed(pairs, _sets(docs, nodes, in_pairs, rule), rule), "links")
     left = _open_members(members, nodes, _roots(links), rule)
-    sets = _sets(docs, nodes, left.select("node").distinct(), rule)
-    dealt = _blocks(left, nodes, sets, stored(_shared(sets, rule.percent), "shared"))
+    block = ["hub", "class", "low", "high"]
+    signatures = nodes.select("node", "signature")
+    close = _blocks(left, signatures).groupBy(*block).applyInArrow(_finder(rule.percent), "node long").distinct()
+    close = stored(close, "close")
+    sets = _sets(docs, nodes, close, rule)
+    details = signatures.join(stored(_shared(sets, rule.percent), "shared"), "node").join(sets, "node")
     more = stored(
-        dealt.groupBy("hub", "class", "low", "high").applyInArrow(_comparer(rule.percent), "a long, b long").distinct(),
+        _blocks(left.join(close, "node"), details)
+        .groupBy(*block)
+        .applyInArrow(_comparer(rule.percent), "a long, b long")
+        .distinct(),
         "more-links",
     )
     roots = _roots(links.union(more))

@@ -5,8 +5,8 @@
    someone, shouting, runs of exclamation marks) and the annotator. Each says toxic, clean
    or nothing about a text.
 2. *Label model.* A generative model, in which a hidden class makes each voter speak and say what
-   it says, is fitted by expectation maximisation without looking at which voter is
-   right. Voters that agree more than the class explains (correlation of what is left
+   it says, is fitted by expectation maximisation; the annotator is a voter among
+   the others, whose answers are the first guess. Voters that agree more than the class explains (correlation of what is left
    once the class is known) share one vote's weight.
 3. *Classifier.* A sparse logistic regression on words and word beginnings is trained on the
    label model's posterior, and gives the score of every whole text.
@@ -46,6 +46,8 @@ LEAST_TEXTS = 3
 LEAST_EVIDENCE = 18.0
 SKETCH = 16
 DENSE = 120
+# Voters that the hidden class explains but for less than this have nothing left to correlate.
+LEAST_SPREAD = 0.05
 THRESHOLD = 0.7
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -166,26 +168,32 @@ class Voters:
         ]
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
+def label_model(
+    votes: np.ndarray, prior: float, start: np.ndarray | None = None, rounds: int = 15
+) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of toxic for each row, and each voter's accuracy.
 
     ``votes`` holds 1, -1 or 0 for each text and voter. A voter says each of the three with a
     probability that depends on the hidden class alone; correlated voters are weighed down.
+    ``start`` is a first guess of the posterior. Correlations are taken once, given that guess, or
+    given the classes of a first fit that starts from the majority.
     """
     n, m = votes.shape
     said = np.stack([votes == v for v in (-1, 0, 1)]).astype(float)
-    posterior = np.clip(prior * 0.5 + 0.5 * (votes.sum(axis=1) > 0), 0.02, 0.98)
+    posterior = start if start is not None else np.clip(prior * 0.5 + 0.5 * (votes.sum(axis=1) > 0), 0.02, 0.98)
+    settled = 0 if start is not None else rounds
     weight = np.ones(m)
-    for _ in range(rounds):
+    for step in range(settled + rounds):
         classes = np.stack([1 - posterior, posterior])
         chance = (np.einsum("cn,vnm->cvm", classes, said) + 0.5) / (classes.sum(axis=1)[:, None, None] + 1.5)
-        expected = np.einsum("cn,cm->nm", classes, chance[:, 2] - chance[:, 0])
-        rest = votes - expected
-        rest /= rest.std(axis=0) + 1e-9
-        correlation = np.abs(rest.T @ rest / n)
-        weight = 1 / np.where(correlation > 0.2, correlation, 0).sum(axis=1).clip(1)
-        ratio = np.log(chance[1] / chance[0])
-        evidence = np.einsum("vnm,vm,m->n", said, ratio, weight)
+        if step == settled:
+            rest = votes - np.einsum("cn,cm->nm", classes, chance[:, 2] - chance[:, 0])
+            rest -= rest.mean(axis=0)
+            rest /= np.maximum(rest.std(axis=0), LEAST_SPREAD)
+            correlation = np.abs(rest.T @ rest / n)
+            np.fill_diagonal(correlation, 0)
+            weight = 1 / (1 + np.where(correlation > 0.2, correlation, 0).sum(axis=1))
+        evidence = np.einsum("vnm,vm,m->n", said, np.log(chance[1] / chance[0]), weight)
         posterior = 1 / (1 + np.exp(-np.clip(evidence + math.log(prior / (1 - prior)), -30, 30)))
     right = (votes > 0) * posterior[:, None] + (votes < 0) * (1 - posterior)[:, None]
     return posterior, right.sum(axis=0) / np.maximum((votes != 0).sum(axis=0), 1)
@@ -238,7 +246,7 @@ def train(texts: list[str], toxic: np.ndarray, class_sizes: np.ndarray) -> Class
     chosen, odds = _pick(found, toxic)
     voters = Voters.of(chosen, odds)
     votes = np.array([[*voters.votes(t, f), 2 * int(y) - 1] for t, f, y in zip(texts, found, toxic)])
-    posterior, accuracies = label_model(votes, float(toxic.mean()))
+    posterior, accuracies = label_model(votes, float(toxic.mean()), np.where(toxic, 0.98, 0.02))
     number = {h: i for i, h in enumerate(chosen.tolist())}
     rows = [[number[h] for h in own[np.isin(own, chosen)].tolist()] for own in found]
     sampled = np.where(toxic, toxic.sum(), (~toxic).sum())
