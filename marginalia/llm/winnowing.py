@@ -142,7 +142,9 @@ def with_next_half(docs: DataFrame) -> DataFrame:
     A row without ``doc_id`` has no next document, and its last half is only cut off; of rows that
     share the next id, the least start of a text counts.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    all_texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # Both joins below deal out the same rows in the same way, so Spark shuffles the texts once.
+    texts = all_texts.filter("doc_id is not null")
     lengths = texts.groupBy("doc_id").agg(F.max(F.length("text")).alias("longest"))
     order = stored(successors(docs).join(lengths, "doc_id"), "order")
     wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("of"), F.expr("longest div 2").cast("int").alias("take"))
@@ -152,13 +154,20 @@ def with_next_half(docs: DataFrame) -> DataFrame:
         .groupBy("of")
         .agg(F.min("head").alias("head"))
     )
-    out = texts.join(heads, F.col("doc_id") == F.col("of"), "left").join(
-        order.select(F.col("doc_id").alias("id"), "next_id"), F.col("doc_id") == F.col("id"), "left"
+    followed = (
+        texts.join(heads, F.col("doc_id") == F.col("of"), "left")
+        .join(order.select(F.col("doc_id").alias("id"), "next_id"), F.col("doc_id") == F.col("id"), "left")
+        .select("doc_id", "text", "next_id", "head")
+    )
+    nameless = all_texts.filter("doc_id is null").select(
+        "doc_id", "text", F.col("doc_id").alias("next_id"), F.lit("").alias("head")
     )
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring(F.coalesce("head", F.lit("")), F.lit(1), half))
-    return out.select("doc_id", "text", n.cast("long").alias("n_chars"), "next_id", edited.alias("edited"))
+    return followed.unionByName(nameless).select(
+        "doc_id", "text", n.cast("long").alias("n_chars"), "next_id", edited.alias("edited")
+    )
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
