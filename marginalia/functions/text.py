@@ -68,9 +68,3 @@ def has_replacement_char(text: Column) -> Column:
 def text_digest(text: Column) -> Column:
     """32-byte SHA-256 of a text: what duplicate detection shuffles instead of the text."""
     return F.unhex(F.sha2(text, 256))
-
-
-def sort_head(text: Column) -> Column:
-    """The first seven UTF-8 bytes as a number: text order, up to ties, in a fixed width."""
-    head = F.hex(F.substring(text.cast("binary"), 1, 7))
-    return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("long")

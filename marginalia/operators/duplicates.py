@@ -10,26 +10,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.functions.numbers import percent, thousands
-from marginalia.functions.text import normalise, sort_head, text_digest
+from marginalia.functions.text import normalise, text_digest
 from marginalia.operators.checks import Check, when_any
 from marginalia.operators.once import compute_once
-from marginalia.sources.paths import stored
 
-# Fixed value: how many conflicting texts a check reports.
+# Fixed value: how many conflicting texts a check counts as reported.
 SHOWN_CONFLICTS = 5
 
 
 def _keyed(df: DataFrame) -> DataFrame:
-    """label, text_key, digest and head (text order in a number) of every row."""
+    """label, text_key and digest of every row."""
     normal = df.select(normalise(F.col("text")).alias("key"), F.col("final_label").alias("label"))
     key = F.col("key")
-    return compute_once(
-        normal, ["label"], {"text_key": key, "digest": text_digest(key), "head": sort_head(key)}
-    )
+    return compute_once(normal, ["label"], {"text_key": key, "digest": text_digest(key)})
 
 
 def duplicate_groups(df: DataFrame) -> DataFrame:
-    """digest, copies, conflicting, head: one row per distinct normalised text.
+    """digest, copies, conflicting: one row per distinct normalised text.
 
     Labels are compared by their 64-bit hash, which keeps the aggregate in fixed-width
     buffers (hash, not sort, aggregation).
@@ -41,7 +38,6 @@ def duplicate_groups(df: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("copies"),
             (F.min(label) != F.max(label)).alias("conflicting"),
-            F.min("head").alias("head"),
         )
     )
 
@@ -69,7 +65,7 @@ def duplicate_check() -> Check:
                 copies,
                 thousands(copies),
                 " duplicate texts found (",
-                shown.cast("string"),
+                F.col("label_conflicts_total").cast("string"),
                 " with conflicting labels)",
             )
         ],
@@ -82,27 +78,18 @@ def check_duplicates(df: DataFrame) -> DataFrame:
     return duplicate_check().run(duplicate_groups(df))
 
 
-def duplicate_label_conflicts(df: DataFrame, shown: int = SHOWN_CONFLICTS) -> DataFrame:
-    """The first conflicting texts in key order: text_key, copies, labels.
+def duplicate_label_conflicts(df: DataFrame, shown: int | None = None) -> DataFrame:
+    """All conflicting texts, or the first ``shown`` in key order: text_key, copies, labels.
 
-    Conflicts are found on digests alone and kept as a small table of known size. Their
-    smallest heads say how far into the text order the answer can reach, so only rows up
-    to there are read as texts, and only those of conflicting digests go on; whatever
-    ties at that head is settled by the full text. A hot text is combined map-side.
+    Conflicts are found on digests; only rows of a conflicting digest go on with their texts,
+    and a text that many rows share is combined before it moves.
     """
-    conflicts = stored(duplicate_groups(df).filter("conflicting").select("digest", "head"), "conflicts")
-    reach = conflicts.orderBy("head").limit(shown).agg(F.max("head")).scalar()
-    candidates = conflicts.filter(F.col("head") <= reach).select("digest")
+    conflicts = duplicate_groups(df).filter("conflicting").select("digest")
     per_label = (
         _keyed(df)
-        .filter(F.col("head") <= reach)
-        .join(candidates, "digest", "left_semi")
+        .join(conflicts, "digest", "left_semi")
         .groupBy("text_key", "label")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return (
-        per_label.groupBy("text_key")
-        .agg(F.sum("n").alias("copies"), F.count(F.lit(1)).alias("labels"))
-        .orderBy("text_key")
-        .limit(shown)
-    )
+    found = per_label.groupBy("text_key").agg(F.sum("n").alias("copies"), F.count(F.lit(1)).alias("labels"))
+    return found if shown is None else found.orderBy("text_key").limit(shown)

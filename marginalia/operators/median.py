@@ -13,7 +13,10 @@ _MIDDLE = 1 << 20
 
 def _bucket(value: Column) -> Column:
     """A number that never falls as ``value`` rises; same value, same bucket."""
-    size = F.floor(F.log2(F.abs(value)) * _PER_DOUBLING) + _MIDDLE
+    infinite = F.abs(value) == F.lit(float("inf"))
+    size = F.when(infinite, F.lit(2 * _MIDDLE)).otherwise(
+        F.floor(F.log2(F.when(infinite, 1.0).otherwise(F.abs(value))) * _PER_DOUBLING) + _MIDDLE
+    )
     return F.when(value == 0, F.lit(0)).when(value > 0, size).otherwise(-size)
 
 

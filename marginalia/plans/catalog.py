@@ -128,10 +128,6 @@ def _flags(df: DataFrame) -> DataFrame:
     return df.withColumn("issues", F.concat_ws("; ", "issues")).drop("skipped", "reason")
 
 
-def _figures(spark: SparkSession, checks: DataFrame) -> DataFrame:
-    return qa_suite.check_metrics(checks).withColumn("value", numbers.round_exact(F.col("value"), 4))
-
-
 # --- sources --------------------------------------------------------------------------
 
 
@@ -896,11 +892,8 @@ def missing_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Required columns a table lacks, with the rows that would need them."""
     docs = table(spark, sf, "documents")
     absent = annotated.missing_columns(docs.columns)
-    return (
-        docs.select(F.explode(F.array(*[F.lit(c) for c in absent])).alias("column"))
-        .groupBy("column")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    rows = docs.agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 0")
+    return rows.select(F.explode(F.array(*[F.lit(c) for c in absent])).alias("column"), "n_rows")
 
 
 # --- documented extras --------------------------------------------------------------------
@@ -991,12 +984,12 @@ def stream_label(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("X8_windowed_counts")
 def windowed_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Closed hourly windows of the event stream."""
+    """All hourly windows of the event stream, the open ones at its end included."""
     events = _streamed(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    counted = label_stream.windowed_label_counts(events, "ts", "event_type")
-    closed = _drained(spark, counted, "windows")
+    folder = shared_folder(spark, "windows")
+    label_stream.count_windows(events, f"{folder}/counts", f"{folder}/progress", "ts", "event_type").awaitTermination()
     start = F.col("window_start")
-    return closed.select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"), "label", "n")
+    return label_stream.window_totals(spark, f"{folder}/counts").select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"), "label", "n")
 
 
 # --- flagship -----------------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marginalia.functions.text import strip
 from marginalia.sources.layout import split_bound
@@ -33,7 +34,8 @@ def scan_csv(spark: SparkSession, path: str, sep: str = ",", multi_line: bool =
     them should pass ``multi_line=False`` so that large files split.
     """
     reader = spark.read.options(
-        header=True, sep=sep, quote='"', escape='"', multiLine=multi_line, inferSchema=False
+        header=True, sep=sep, quote='"', escape='"', multiLine=multi_line, inferSchema=False,
+        enforceSchema=False,  # files whose header differs are refused, not misread
     )
     return _all_text(reader.csv(path))
 
@@ -42,37 +44,46 @@ def scan_tsv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     return scan_csv(spark, path, sep="\t", multi_line=multi_line)
 
 
-def scan_json_array(spark: SparkSession, path: str) -> DataFrame:
-    """Files that each hold one JSON array of records."""
-    return _all_text(spark.read.json(path, multiLine=True, primitivesAsString=True))
+def scan_json_array(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
+    """Files that each hold one JSON array of records. A schema saves the pass that infers one."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return _all_text(reader.json(path, multiLine=True, primitivesAsString=True))
 
 
-def scan_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON record per line; splits at any size."""
-    return _all_text(spark.read.json(path, primitivesAsString=True))
+def scan_jsonl(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
+    """One JSON record per line; splits at any size. A schema saves the pass that infers one."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return _all_text(reader.json(path, primitivesAsString=True))
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return _all_text(spark.read.parquet(path))
 
 
-_SCANS = {
-    ".csv": scan_csv,
-    ".tsv": scan_tsv,
-    ".json": scan_json_array,
-    ".jsonl": scan_jsonl,
-    ".ndjson": scan_jsonl,
-    ".parquet": scan_parquet,
-}
+_FORMATS = ["csv", "tsv", "json", "jsonl", "ndjson", "parquet"]
 
 
-def scan(spark: SparkSession, path: str) -> DataFrame:
-    """Pick the reader by the lower-cased suffix."""
+def scan(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = True,
+    format: str | None = None,
+    schema: str | StructType | None = None,
+) -> DataFrame:
+    """Pick the reader by ``format``, else by the lower-cased suffix.
+
+    ``format`` also opens folders that a writer made. ``multi_line`` matters to CSV and TSV,
+    ``schema`` to JSON.
+    """
     require_path(spark, path)
-    suffix = suffix_of(path)
-    if suffix not in _SCANS:
-        raise ValueError(f"unsupported format {suffix!r}; use one of {sorted(_SCANS)}")
-    return _SCANS[suffix](spark, path)
+    found = format or suffix_of(path).lstrip(".")
+    if found not in _FORMATS:
+        raise ValueError(f"unsupported format {found!r}; use one of {_FORMATS}")
+    if found in ("csv", "tsv"):
+        return (scan_csv if found == "csv" else scan_tsv)(spark, path, multi_line=multi_line)
+    if found == "parquet":
+        return scan_parquet(spark, path)
+    return (scan_json_array if found == "json" else scan_jsonl)(spark, path, schema)
 
 
 def _detect(columns: list[str], wanted: list[str]) -> str | None:
@@ -104,7 +115,9 @@ def _with_origin(df: DataFrame) -> DataFrame:
     """
     return df.withColumns(
         {
-            "__file": F.input_file_name(),
+            "__file": F.when(F.input_file_name() != "", F.input_file_name()).otherwise(
+                F.raise_error(F.lit("rows can only be numbered or limited straight off a reader"))
+            ),
             "__block": F.input_file_block_start().cast("long"),
             "__pos": F.monotonically_increasing_id(),
         }
@@ -146,6 +159,7 @@ def _first_rows(df: DataFrame, limit: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("__file", "__block").orderBy("__pos"))
     return (
         reachable.withColumn("__rank", rank)
+        .filter(F.col("__rank") <= limit)  # lets each task keep the first rows of a split only
         .filter(F.col("__before") + F.col("__rank") <= limit)
         .drop("__first", "__before", "__rank")
     )
@@ -187,6 +201,9 @@ def load(
     text_col: str | None = None,
     id_col: str | None = None,
     limit: int | None = None,
+    multi_line: bool = True,
+    format: str | None = None,
+    schema: str | StructType | None = None,
 ) -> DataFrame:
-    """Read any supported file and clean it."""
-    return clean(scan(spark, path), text_col, id_col, limit)
+    """Read any supported file or folder and clean it; see ``scan`` for the last three."""
+    return clean(scan(spark, path, multi_line, format, schema), text_col, id_col, limit)

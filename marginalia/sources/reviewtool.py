@@ -46,13 +46,18 @@ REVIEW_TASK = StructType(
 )
 
 
-def import_review_tasks(spark: SparkSession, path: str) -> DataFrame:
+def import_review_tasks(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Task documents to annotated rows ready for the checks.
 
     One row per annotation that was not cancelled; its first choice is the final label,
     the prediction's first choice the automatic one. Fixed schema: no inference pass.
+    ``multi_line`` reads files that hold one JSON array each, as the tool exports them; without it
+    there is one task per line. What turns out to be neither is an error.
     """
-    tasks = spark.read.schema(REVIEW_TASK).json(path)
+    tasks = spark.read.schema(REVIEW_TASK).json(path, multiLine=multi_line)
+    is_task = F.col("id").isNotNull() | F.col("data").isNotNull()
+    wrong = F.raise_error(F.lit("a line that is no task; pass multi_line=True for JSON arrays"))
+    tasks = tasks.filter(F.when(is_task, F.lit(True)).otherwise(wrong.cast("boolean")))
     prediction = F.get("predictions", F.lit(0))
     auto = F.get(F.get(prediction["result"], F.lit(0))["value"]["choices"], F.lit(0))
     rows = tasks.select(

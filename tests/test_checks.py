@@ -110,8 +110,9 @@ def test_duplicates_and_conflicts(annotated):
     got = row(duplicates.check_duplicates(df))
     assert got["exact_duplicates"] == 15 and got["duplicate_pct"] == 93.75
     assert got["label_conflicts"] == 5 and got["label_conflicts_total"] == 7
-    assert got["issues"] == ["15 duplicate texts found (5 with conflicting labels)"]
-    shown = duplicates.duplicate_label_conflicts(df).collect()
+    assert got["issues"] == ["15 duplicate texts found (7 with conflicting labels)"]
+    assert duplicates.duplicate_label_conflicts(df).count() == 7
+    shown = duplicates.duplicate_label_conflicts(df, 5).collect()
     assert [(r["text_key"], r["copies"], r["labels"]) for r in shown] == [("text 0", 3, 2)] + [
         (f"text {i}", 2, 2) for i in range(1, 5)
     ]
@@ -307,3 +308,10 @@ def test_scorecard(spark):
     got = row(reliability.annotator_scorecard(records, gold, assigned))
     assert got["items_per_hour"] == 360.0 and got["completion_pct"] == 95.24 and got["completion_ok"] is True
     assert got["n_calibration"] == 10 and got["calibration_pct"] == 70.0 and got["calibration_ok"] is False
+
+
+def test_median_with_infinities(spark):
+    from marginalia.operators.median import exact_median
+
+    values = [(float("inf"),), (float("-inf"),), (0.25,), (0.5,), (float("inf"),)]
+    assert exact_median(spark.createDataFrame(values, "v double"), "v").first()["median"] == 0.5

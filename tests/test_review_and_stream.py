@@ -92,3 +92,17 @@ def test_single_label_rule_set(texts):
     only = RuleSet("t", {"Only": [r"\bx\b"]})
     got = [(r["auto_label"], r["auto_confidence"]) for r in label(texts("x", "y", " "), only, "_text").orderBy("_id").collect()]
     assert got == [("Only", 1.0), ("Only", 0.0), ("Unknown", 0.0)]
+
+
+def test_windows_of_all_batches_add_up(spark, tmp_path):
+    from marginalia.streaming.label_stream import count_windows, window_totals
+
+    rows = [(f"2024-01-01 {h:02d}:30:00", "a") for h in (1, 1, 2, 9)] + [("2024-01-01 00:10:00", "b")]
+    schema = "ts timestamp, auto_label string"
+    table = spark.createDataFrame(rows, "ts string, auto_label string").selectExpr("to_timestamp(ts) AS ts", "auto_label")
+    for part in (table.filter("auto_label = 'a'"), table.filter("auto_label = 'b'")):
+        part.write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        count_windows(stream, f"{tmp_path}/counts", f"{tmp_path}/progress", "ts").awaitTermination()
+    got = {(r.window_start.hour, r.label): r.n for r in window_totals(spark, f"{tmp_path}/counts").collect()}
+    assert got == {(1, "a"): 2, (2, "a"): 1, (9, "a"): 1, (0, "b"): 1}

@@ -264,3 +264,33 @@ def test_a_cluster_without_shared_storage_is_refused():
         paths.shared_folder(_Session(master="spark://host:7077"), "x")
     assert paths.shared_folder(_Session(master="yarn", checkpoint_dir="hdfs://x/shared"), "x").startswith("hdfs://x/shared/")
     assert paths.shared_folder(_Session(master="local[2]"), "x")
+
+
+def test_review_tasks_as_one_array(spark, tmp_path):
+    task = {"id": "t", "data": {"text": "x", "source_id": "s"}, "annotations": [{"id": "a", "result": []}], "predictions": []}
+    (tmp_path / "array.json").write_text(json.dumps([task] * 3, indent=2))
+    path = str(tmp_path / "array.json")
+    assert reviewtool.import_review_tasks(spark, path, multi_line=True).count() == 3
+    with pytest.raises(Exception, match="multi_line=True"):
+        reviewtool.import_review_tasks(spark, path).collect()
+
+
+def test_csv_files_with_different_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,text\n1,one\n")
+    (tmp_path / "b.csv").write_text("text,id\ntwo,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.scan(spark, str(tmp_path), format="csv", multi_line=False).collect()
+
+
+def test_rows_off_a_shuffle_are_not_numbered(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("text\n" + "x\n" * 50)
+    rows = readers.scan(spark, str(tmp_path / "a.csv"))
+    assert readers.clean(rows).count() == 50
+    with pytest.raises(Exception, match="straight off a reader"):
+        readers.clean(rows.repartition(4)).collect()
+
+
+def test_folders_and_schemas_through_load(spark, tmp_path):
+    spark.createDataFrame([("a", "one"), ("b", "two")], "id string, text string").write.json(str(tmp_path / "out"))
+    rows = readers.load(spark, str(tmp_path / "out"), format="jsonl", schema="id string, text string")
+    assert sorted((r["_id"], r["_text"]) for r in rows.collect()) == [("a", "one"), ("b", "two")]
