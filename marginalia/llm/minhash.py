@@ -397,15 +397,15 @@ def near_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     prefixes = stored(_prefixes(nodes), "prefixes")
     members = stored(_by_hub(prefixes), "members")
     pairs = stored(_hub_pairs(members, nodes, rule), "hub-pairs")
-    in_pairs = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    links = stored(_confirmed(pairs, _sets(docs, nodes, in_pairs, rule), rule), "links")
+    sets = _sets(docs, nodes, members.select("node").distinct(), rule)
+    links = stored(_confirmed(pairs, sets, rule), "links")
     left = _open_members(members, nodes, _roots(links), rule)
     block = ["hub", "class", "low", "high"]
     signatures = nodes.select("node", "signature")
     close = _blocks(left, signatures).groupBy(*block).applyInArrow(_finder(rule.percent), "node long").distinct()
     close = stored(close, "close")
-    sets = _sets(docs, nodes, close, rule)
-    details = signatures.join(stored(_shared(sets, rule.percent), "shared"), "node").join(sets, "node")
+    near = sets.join(close, "node")
+    details = signatures.join(stored(_shared(near, rule.percent), "shared"), "node").join(near, "node")
     more = stored(
         _blocks(left.join(close, "node"), details)
         .groupBy(*block)
@@ -439,7 +439,11 @@ def keep_first(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """Full sets of the wanted nodes, made again from the texts of one document of each."""
+    """Full sets of the wanted nodes, made again from the texts of one document of each.
+
+    The texts move once; rows that repeat are dropped where they already lie together.
+    """
     firsts = nodes.select("node", F.col("first").alias("doc_id")).join(wanted, "node")
-    texts = docs.selectExpr("cast(doc_id as long) as doc_id", "text").join(firsts, "doc_id").select("node", "text")
-    return stored(texts.mapInArrow(_setter(rule.words), _SETS).dropDuplicates(["node"]), "sets")
+    texts = docs.selectExpr("cast(doc_id as long) as doc_id", "text", f"{TEXT_HASH} as text_hash")
+    once = texts.join(firsts, "doc_id").dropDuplicates(["doc_id", "node", "text_hash"]).select("node", "text")
+    return stored(once.mapInArrow(_setter(rule.words), _SETS), "sets")

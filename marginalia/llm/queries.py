@@ -20,6 +20,7 @@ from marginalia.llm import (
     winnowing,
 )
 from marginalia.llm.samples import crc_remainder
+from marginalia.llm.shipping import shipped
 from marginalia.sources.paths import shared_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,8 +30,8 @@ _SQL: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
-    _QUERIES[fn.__name__] = fn
-    return fn
+    _QUERIES[fn.__name__] = shipped(fn)
+    return _QUERIES[fn.__name__]
 
 
 def registered() -> dict[str, Query]:
