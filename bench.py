@@ -35,6 +35,7 @@ HEADLINE = [
     "Q8_check_golden_set",
     "Q9_check_override_analysis",
     "Q10_run_all_checks",
+    "Q12_qa_report_rows",
     "K1_sink_csv",
     "K2_sink_jsonl",
     "S1_scan_csv",
