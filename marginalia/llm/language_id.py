@@ -200,7 +200,7 @@ def _one(text: str | None, predict: Callable | None, network: Network | None) ->
     return network.classes[best], min(1.0, float(mean[best]))
 
 
-def keep_identified(docs: DataFrame, network: Network | None, min_score: float = 0.4) -> DataFrame:
+def keep_identified(docs: DataFrame, network: Network | None, min_score: float = 0.3) -> DataFrame:
     """Documents, with all their columns, whose language is told with at least ``min_score``.
 
     Answers come back to their rows as a column, so nothing is joined and no text moves.
