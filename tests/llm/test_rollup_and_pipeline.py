@@ -1,6 +1,7 @@
 """Token ledgers, the pipeline, and the queries that SQL can express."""
 
 import os
+import re
 
 import oracle
 import pytest
@@ -54,7 +55,7 @@ def test_rollup_query_equals_a_recount(spark):
         if label is not None and label.toxic == 1:
             continue
         if label is not None and label.toxic == 0 and label.quality == 1:
-            name, text = name + " tidied", " ".join(x for x in __import__("re").split(r"[ \t\n\x0b\f\r]+", d.text) if x)
+            name, text = name + " tidied", " ".join(x for x in re.split(r"[ \t\n\x0b\f\r]+", d.text) if x)
         key = (d.source, d.lang, name)
         n, tokens = expected.get(key, (0, 0))
         expected[key] = (n + 1, tokens + len(tokenizer().encode(text, add_special_tokens=False).ids))
