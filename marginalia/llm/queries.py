@@ -174,8 +174,10 @@ def op9_token_rollup(spark: SparkSession, sf: str) -> DataFrame:
         return labels.filter(condition).select("doc_id").distinct()
 
     good = of("toxic = 0 and quality = 1")
-    tidied = docs.join(good, "doc_id").withColumn("text", F.trim(F.regexp_replace("text", r"\s+", " ")))
-    revised = token_rollup.count_tokens(tidied).withColumn("tokenizer", F.concat("tokenizer", F.lit(" tidied")))
+    # Every text is counted in both ways where it lies; only counts meet the labels.
+    tidied = docs.withColumn("text", F.trim(F.regexp_replace("text", r"\s+", " ")))
+    tidied = stored(token_rollup.count_tokens(tidied), "tidied-counts")
+    revised = tidied.join(good, "doc_id").withColumn("tokenizer", F.concat("tokenizer", F.lit(" tidied")))
     for batch, changes in (
         ("1-load", token_rollup.inserts(counts)),
         ("2-take-down", token_rollup.deletes(counts.join(of("toxic = 1"), "doc_id"))),
