@@ -28,7 +28,7 @@ from marginalia.sources.paths import stored
 
 UNIT_CHARS = 8
 K = 4
-WINDOW = 16
+WINDOW = 4
 PLACE_BITS = 23
 HASH_BITS = 40
 
@@ -136,57 +136,56 @@ def successors(docs: DataFrame) -> DataFrame:
 
 
 def with_next_half(docs: DataFrame) -> DataFrame:
-    """doc_id, text, n_chars, next_id, edited: the last half of each text (rounded down) replaced by
-    as much of the start of the next document.
+    """doc_id, text, n_chars, next_id, next_text, edited: the last half of each text (rounded down)
+    replaced by as much of the start of the next document.
 
     A row without ``doc_id`` has no next document, and its last half is only cut off; of rows that
-    share the next id, the least start of a text counts.
+    share the next id, the least text counts.
     """
     all_texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    # Both joins below deal out the same rows in the same way, so Spark shuffles the texts once.
+    # Sort-merge joins at every size: the first two deal out the same rows in the same way, so Spark
+    # shuffles the texts once for both, and once more as next texts.
     texts = all_texts.filter("doc_id is not null")
-    lengths = texts.groupBy("doc_id").agg(F.max(F.length("text")).alias("longest"))
-    order = stored(successors(docs).join(lengths, "doc_id"), "order")
-    wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("of"), F.expr("longest div 2").cast("int").alias("take"))
-    heads = (
-        texts.join(wanted, "doc_id")
-        .select("of", F.substring("text", F.lit(1), F.col("take")).alias("head"))
-        .groupBy("of")
-        .agg(F.min("head").alias("head"))
+    order = stored(successors(docs), "order")
+    wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("of"))
+    following = (
+        texts.join(wanted.hint("merge"), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min("of").alias("of"), F.min("text").alias("next_text"))
+        .select("of", F.col("doc_id").alias("next_id"), "next_text")
     )
     followed = (
-        texts.join(heads, F.col("doc_id") == F.col("of"), "left")
-        .join(order.select(F.col("doc_id").alias("id"), "next_id"), F.col("doc_id") == F.col("id"), "left")
-        .select("doc_id", "text", "next_id", "head")
+        texts.join(following.hint("merge"), F.col("doc_id") == F.col("of"), "left")
+        .select("doc_id", "text", "next_id", "next_text")
     )
     nameless = all_texts.filter("doc_id is null").select(
-        "doc_id", "text", F.col("doc_id").alias("next_id"), F.lit("").alias("head")
+        "doc_id", "text", F.col("doc_id").alias("next_id"), F.lit(None).cast("string").alias("next_text")
     )
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring(F.coalesce("head", F.lit("")), F.lit(1), half))
+    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
     return followed.unionByName(nameless).select(
-        "doc_id", "text", n.cast("long").alias("n_chars"), "next_id", edited.alias("edited")
+        "doc_id", "text", n.cast("long").alias("n_chars"), "next_id", "next_text", edited.alias("edited")
     )
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and its edited form, and how alike they are.
 
-    Fingerprints are stored, because each is compared with two others.
+    The next text comes along whole and is fingerprinted where it arrives, which is less to move
+    and keep than fingerprints are.
     """
     both = with_next_half(docs).select(
         "doc_id", "n_chars", "next_id",
         F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint(F.col("text")).alias("kept"),
         fingerprint(F.col("edited")).alias("edited_kept"),
+        hashes(fingerprint(F.col("next_text"))).alias("next_hashes"),
     )
-    both = stored(both, "fingerprints")
-    after = both.groupBy(F.col("doc_id").alias("next_id")).agg(F.min(hashes(F.col("kept"))).alias("next_hashes"))
-    return both.join(after, "next_id", "left").select(
+    return both.select(
         "doc_id", "n_chars", "edited_sha256",
         as_text(F.col("kept")).alias("fingerprint"),
         as_text(F.col("edited_kept")).alias("edited_fingerprint"),
         likeness(hashes(F.col("kept")), hashes(F.col("edited_kept"))).alias("near_edited"),
-        F.coalesce(likeness(hashes(F.col("kept")), F.col("next_hashes")), F.lit(0.0)).alias("near_next"),
+        F.when(F.col("next_id").isNull(), 0.0).otherwise(likeness(hashes(F.col("kept")), F.col("next_hashes"))).alias("near_next"),
     )

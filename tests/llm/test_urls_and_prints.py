@@ -1,6 +1,7 @@
 """URL rules and winnowing fingerprints against plain Python."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -115,6 +116,30 @@ def test_shared_passages_are_always_found(spark):
     assert all(r.n >= 1 for r in found)
 
 
+def test_likeness_of_short_edited_texts(spark):
+    rng = random.Random(11)
+
+    def grams(words):
+        return {tuple(words[i : i + winnowing.K]) for i in range(len(words) - winnowing.K + 1)}
+
+    rows, share, passage = [], [], []
+    for n in [*range(10, 20)] * 14 + [*range(20, 41)] * 5:
+        words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+        at = rng.randrange(n)
+        edited = [*words[:at], "other", *words[at + 1 :]]
+        rows.append((len(rows), " ".join(words), " ".join(edited)))
+        share.append(len(grams(words) & grams(edited)) / len(grams(words) | grams(edited)))
+        passage.append(max(at, n - 1 - at))
+    kept = [winnowing.hashes(winnowing.fingerprint(F.col(c))) for c in ("x", "y")]
+    found = spark.createDataFrame(rows, "i int, x string, y string").select("i", winnowing.likeness(*kept).alias("near")).collect()
+    near = [r.near for r in sorted(found)]
+    assert all(a > 0 for a, p in zip(near, passage) if p >= winnowing.K + 3)
+    short = [(a, s) for a, s, (_, x, _) in zip(near, share, rows) if len(x.split()) < 20]
+    assert sum(a == 0 and s > 0 for a, s in short) < 0.15 * len(short)
+    assert all(sum(abs(a - s) for a, s in part) < 0.2 * len(part) for part in (short, [*zip(near, share)]))
+    assert abs(sum(near) - sum(share)) < 0.1 * len(near)
+
+
 def test_edited_texts_take_the_next_start(spark, odd_docs, no_docs, odd_texts):
     found = winnowing.compare_with_next(odd_docs).collect()
     assert len(found) == len(odd_texts)
