@@ -1,11 +1,17 @@
 """Document fingerprints by winnowing, in built-in column functions only.
 
-A text is cut into units, runs of at most UNIT_CHARS characters without white space; each K
+A text is cut into units of at most UNIT_CHARS characters without white space. Runs without
+white space are cut where their content says so: before every pair of unequal neighbouring
+characters whose hash is the least of some UNIT_CHARS neighbouring pairs (all of equal ones), so
+that borders in a passage are the same wherever it stands. The last WORD_CHARS characters of a run,
+hence words of up to that length, and repetitions of one character have no such borders; there,
+every UNIT_CHARS characters are a unit. Each K
 neighbouring units are one gram, whose hash is rolled together from the units' (a cyclic
 polynomial: shifted and added without carry). Of every WINDOW neighbouring grams the one with
 the least hash is kept, of equal ones the rightmost, together with its place. Any
 passage of at least ``WINDOW + K - 1`` units that two texts share gives them a common gram; its
-places say where.
+places say where. Within long runs, apart from repetitions of one character at its ends, a shared
+passage of ``UNIT_CHARS * (WINDOW + K + 3)`` characters holds that many units.
 
 A kept gram is one long: the hash above, the place (counted in units, modulo 2**23) below.
 Likeness is the share of common hashes among all hashes of two fingerprints; two empty ones are
@@ -27,6 +33,7 @@ from pyspark.sql import functions as F
 from marginalia.sources.paths import stored
 
 UNIT_CHARS = 8
+WORD_CHARS = 2 * UNIT_CHARS
 K = 4
 WINDOW = 4
 PLACE_BITS = 23
@@ -42,7 +49,7 @@ def _rotate(h: Column, by: int) -> Column:
     return F.shiftleft(h, by).bitwiseOR(F.shiftrightunsigned(h, 64 - by)) if by else h
 
 
-def _rolled(units: Column) -> Column:
+def _rolled(cut: Column) -> Column:
     """Hash of each run of K units; of all of them where there are fewer."""
 
     def grams(h: Column) -> Column:
@@ -56,7 +63,7 @@ def _rolled(units: Column) -> Column:
     def short(h: Column) -> Column:
         return F.array(F.aggregate(h, F.lit(0).cast("long"), lambda a, b: _rotate(a, 1).bitwiseXOR(b)))
 
-    hashes = F.transform(units, lambda u: F.xxhash64(u))
+    hashes = F.transform(cut, lambda u: F.xxhash64(u))
     return _let(
         hashes,
         lambda h: F.when(F.size(h) == 0, F.slice(h, 1, 0))
@@ -65,14 +72,58 @@ def _rolled(units: Column) -> Column:
     )
 
 
-def _least_with(step: int) -> Callable[[Column], Column]:
-    """Element-wise least of an array and itself ``step`` places on."""
-    return lambda m: F.zip_with(m, F.slice(m, step + 1, F.greatest(F.size(m), F.lit(1))), lambda a, b: F.least(a, b))
+def _sliding(values: Column, width: int, of: Callable[..., Column]) -> Column:
+    """``of`` (least or greatest) each value and the ``width - 1`` after it, as far as there are any."""
+
+    def with_later(step: int) -> Callable[[Column], Column]:
+        return lambda m: F.zip_with(m, F.slice(m, step + 1, F.greatest(F.size(m), F.lit(1))), lambda a, b: of(a, b))
+
+    found, done = values, 1
+    while done < width:
+        step = min(done, width - done)
+        found = _let(found, with_later(step))
+        done += step
+    return found
+
+
+def _cut(run: Column) -> Column:
+    """Units of a long run, between borders that depend on the characters around them."""
+
+    def marked(c: Column) -> Column:
+        # NULL, never a border, for equal neighbours and the last character.
+        pairs = F.zip_with(c, F.slice(c, 2, F.size(c)), lambda a, b: F.when(a != b, F.xxhash64(a, b)))
+        inner = F.greatest(F.size(c) - WORD_CHARS, F.lit(0))
+        return _let(pairs, lambda h: F.array_join(F.zip_with(c, F.slice(borders(h), 1, inner), spaced), ""))
+
+    def borders(h: Column) -> Column:
+        # A pair is the least of some window if it equals the greatest least of those it lies in.
+        before = F.array_repeat(F.lit(None).cast("long"), UNIT_CHARS - 1)
+        least = F.concat(before, _sliding(h, UNIT_CHARS, F.least))
+        return F.zip_with(h, _sliding(least, UNIT_CHARS, F.greatest), lambda a, b: a == b)
+
+    def spaced(char: Column, border: Column) -> Column:
+        return F.when(border, F.concat(F.lit(" "), char)).otherwise(char)
+
+    chars = F.regexp_extract_all(run, F.lit(r"\S"), F.lit(0))
+    return F.regexp_extract_all(_let(chars, marked), F.lit(rf"\S{{1,{UNIT_CHARS}}}"), F.lit(0))
+
+
+def units(text: Column) -> Column:
+    """What a text is cut into, in its order."""
+    pattern = rf"\S{{{WORD_CHARS + 1},}}|\S{{1,{UNIT_CHARS}}}"
+    runs = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
+
+    def long(run: Column) -> Column:
+        return F.length(run) > WORD_CHARS
+
+    def cut(r: Column) -> Column:
+        return F.flatten(F.transform(r, lambda run: F.when(long(run), _cut(run)).otherwise(F.array(run))))
+
+    return _let(runs, lambda r: F.when(F.exists(r, long), cut(r)).otherwise(r))
 
 
 def fingerprint(text: Column) -> Column:
     """Kept grams in the order of the text, each once."""
-    units = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"\S{{1,{UNIT_CHARS}}}"), F.lit(0))
     mask = F.lit((1 << HASH_BITS) - 1)
     last = F.lit((1 << PLACE_BITS) - 1)
 
@@ -81,14 +132,9 @@ def fingerprint(text: Column) -> Column:
         return F.shiftleft(F.xxhash64(h).bitwiseAND(mask), PLACE_BITS).bitwiseOR(last - i.cast("long").bitwiseAND(last))
 
     def minima(g: Column) -> Column:
-        least, width = g, 1
-        while width < WINDOW:
-            step = min(width, WINDOW - width)
-            least = _let(least, _least_with(step))
-            width += step
-        return F.slice(least, 1, F.greatest(F.size(g) - WINDOW + 1, F.least(F.size(g), F.lit(1))))
-
-    return F.array_distinct(_let(F.transform(_rolled(units), placed), minima))
+        return F.slice(_sliding(g, WINDOW, F.least), 1, F.greatest(F.size(g) - WINDOW + 1, F.least(F.size(g), F.lit(1))))
+
+    return F.array_distinct(_let(F.transform(_rolled(units(text)), placed), minima))
 
 
 def hashes(kept: Column) -> Column:

@@ -140,6 +140,53 @@ def test_likeness_of_short_edited_texts(spark):
     assert abs(sum(near) - sum(share)) < 0.1 * len(near)
 
 
+def plain_cut(run):
+    def signed(a, b):
+        h = xxhash.xxh64(b.encode(), seed=xxhash.xxh64(a.encode(), seed=42).intdigest()).intdigest()
+        return h - (h >> 63 << 64)
+
+    pairs = [signed(a, b) if a != b else None for a, b in zip(run, run[1:])] + [None]
+    n, borders = winnowing.UNIT_CHARS, set()
+    for i in range(len(pairs)):
+        window = pairs[i : i + n]
+        least = min((h for h in window if h is not None), default=None)
+        borders |= {i + j for j, h in enumerate(window) if h is not None and h == least}
+    marked = "".join(" " * (i in borders and i < len(run) - winnowing.WORD_CHARS) + c for i, c in enumerate(run))
+    return re.findall(rf"\S{{1,{n}}}", marked)
+
+
+LETTERS, SIGNS = "abcdefghijklmnopqrstuvwxyz", [chr(c) for c in range(0x4E00, 0x5400)]
+
+
+def test_long_runs_are_cut_by_content(spark):
+    rng = random.Random(3)
+    runs = ["".join(rng.choices(a, k=k)) for a in (LETTERS, SIGNS, "ab", "ab😀") for k in (17, 18, 25, 60, 900)]
+    runs += ["ab" * 40, "abcdefghij" * 9, "q" * 17, "x" + "q" * 40, "q" * 40 + "x", "q" * 21 + "rst" + "u" * 30]
+    texts = [f"one {run} twelve+letters\n{run}" for run in runs]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select("t", winnowing.units(F.col("t")).alias("u")).collect()
+    expected = {t: ["one", *plain_cut(r), "twelve+l", "etters", *plain_cut(r)] for t, r in zip(texts, runs)}
+    assert {r.t: r.u for r in found} == expected
+
+
+def test_passages_in_unspaced_runs_are_found_at_every_offset(spark):
+    rng = random.Random(4)
+    whole = [("".join(rng.choices(a, k=4000)), 0.9) for a in (LETTERS, SIGNS)]
+    # Of periodic texts all inner grams are alike, so they count once against those of the start.
+    whole += [(text, 0.1) for text in ("abcdefgh" * 500, "ab" * 2000, "z" * 4000)]
+    rows = [(text, text[:k][::-1] + text, least) for text, least in whole for k in range(1, 17)]
+    length = winnowing.UNIT_CHARS * (winnowing.WINDOW + winnowing.K + 3)
+    for alphabet in (LETTERS, SIGNS, "ab"):
+        for k in range(40):
+            a, b, c, passage = ("".join(rng.choices(alphabet, k=n)) for n in (k, 40 - k, 3 * k, length))
+            rows.append((a + passage + b, f"{c}{passage} {c}", 0.0))
+    prints = [winnowing.hashes(winnowing.fingerprint(F.col(c))) for c in ("x", "y")]
+    common = F.size(F.array_intersect(*prints))
+    found = spark.createDataFrame(rows, "x string, y string, least double").select(
+        common.alias("n"), winnowing.likeness(*prints).alias("near"), "least"
+    )
+    assert all(r.n >= 1 and r.near > r.least for r in found.collect())
+
+
 def test_edited_texts_take_the_next_start(spark, odd_docs, no_docs, odd_texts):
     found = winnowing.compare_with_next(odd_docs).collect()
     assert len(found) == len(odd_texts)
