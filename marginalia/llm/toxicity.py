@@ -260,10 +260,14 @@ def train(texts: list[str], toxic: np.ndarray, class_sizes: np.ndarray) -> Class
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id") -> Classifier | None:
-    """``labels`` has the ids and classes (0 or 1) to learn from; NULL classes do not count."""
+    """``labels`` has the ids and classes (0 or 1) to learn from; NULL classes do not count.
+
+    Of rows that repeat an id the least text counts, so the driver gets one text for each label.
+    """
     known = labels.select(F.col(key), F.col(label).cast("int").alias("label")).filter(F.col("label").isin(0, 1))
     sampled = per_class(known, "label", key, TEXTS_PER_CLASS)
-    rows = docs.select(F.col(key), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sampled), key).collect()
+    texts = docs.select(F.col(key), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sampled), key)
+    rows = texts.groupBy(key, "label", "class_size").agg(F.min("text").alias("text")).collect()
     rows = sorted(rows, key=lambda r: (str(r[key]), r["label"], r["text"]))
     return train(
         [r["text"] for r in rows],

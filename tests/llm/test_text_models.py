@@ -122,6 +122,15 @@ def test_label_model_recovers_accuracies():
     assert ((posterior > 0.5) == truth).mean() > 0.9
 
 
+def test_a_repeated_labelled_id_gives_one_text(spark, monkeypatch):
+    rows = [(1, f"text {i % 7}") for i in range(3000)] + [(1, None), (2, "b"), (2, "a"), (3, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (2, 1), (3, 0), (4, 1)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, sizes: (texts, toxic.tolist(), sizes.tolist()))
+    texts, toxic, sizes = toxicity.fit(docs, labels)
+    assert [*zip(texts, toxic, sizes)] == [("", True, 4.0), ("a", False, 2.0), ("a", True, 4.0), ("c", False, 2.0)]
+
+
 def test_toxicity_of_odd_texts(spark, odd_docs, no_docs, odd_texts):
     one_class = spark.createDataFrame([(3, 0), (4, 0), (5, None)], "doc_id long, toxic int")
     assert toxicity.fit(odd_docs, one_class) is None
