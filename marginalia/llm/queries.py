@@ -14,6 +14,7 @@ from marginalia.llm import (
     language_id,
     minhash,
     packing,
+    source_audit,
     token_rollup,
     toxicity,
     url_filter,
@@ -186,3 +187,52 @@ def op9_token_rollup(spark: SparkSession, sf: str) -> DataFrame:
     ):
         token_rollup.commit(spark, ledger, batch, changes)
     return token_rollup.totals(spark, ledger)
+
+@query
+def op12_source_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf, "documents"))
+
+
+_SQL["op12_source_audit"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), tokens AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*) AS lang_n FROM tokens GROUP BY lang, term HAVING count(DISTINCT id) >= 10
+), sizes AS (
+  SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM tokens SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), groups AS (
+  SELECT DISTINCT lang, source FROM d
+), grid AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.lang_n::HUGEINT AS lang_n
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), totals AS (
+  SELECT lang, source, sum(n) AS total FROM grid GROUP BY lang, source
+), shares AS (
+  SELECT lang, source, term, n,
+    1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v) AS p,
+    1 + (1000000000::HUGEINT * (lang_n + 2)) // (lang_total + 2 * v) AS q
+  FROM grid JOIN totals USING (lang, source) JOIN sizes USING (lang)
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value
+  FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
