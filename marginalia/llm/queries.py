@@ -12,9 +12,11 @@ from marginalia.llm import (
     bpe_stream,
     exact_dedup,
     language_id,
+    lm_score,
     minhash,
     packing,
     source_audit,
+    spelling,
     token_rollup,
     toxicity,
     url_filter,
@@ -236,3 +238,13 @@ WITH d AS (
 )
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
 """
+
+
+@query
+def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.group_spellings(spelling.count_words(table(spark, sf, "documents"), one_in=97))
+
+
+@query
+def op11_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_score.score_texts(table(spark, sf, "documents"), crc_remainder(F.col("doc_id"), 7) == 2)
