@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -30,3 +31,11 @@ def odd_docs(spark, odd_texts):
 @pytest.fixture(scope="session")
 def no_docs(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    found = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(found):
+        pytest.skip("driver tables not present")
+    return found
