@@ -18,10 +18,12 @@ from marginalia.functions import bands, numbers
 from marginalia.functions import text as t
 from marginalia.operators import (
     agreement,
+    boilerplate,
     distribution,
     duplicates,
     golden,
     labelling,
+    near_duplicates,
     overrides,
     records,
     reliability,
@@ -919,6 +921,50 @@ def label_drift(spark: SparkSession, sf: str) -> DataFrame:
     return reliability.label_drift(events, "day", "event_type")
 
 
+def _id_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query("X3_near_duplicates")
+def near_duplicate_texts(spark: SparkSession, sf: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(_id_texts(spark, sf), "doc_id")
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query("X3_near_duplicate_pairs")
+def near_duplicate_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    found = near_duplicates.near_duplicate_pairs(_id_texts(spark, sf), "doc_id")
+    return found.select("id_a", "id_b", F.col("overlap").cast("long"), F.col("union_size").cast("long"))
+
+
+@query("X3_check_near_duplicates")
+def check_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return _flags(near_duplicates.check_near_duplicates(_id_texts(spark, sf), "doc_id"))
+
+
+@query("X4_boilerplate_lines")
+def boilerplate_lines(spark: SparkSession, sf: str) -> DataFrame:
+    found = boilerplate.boilerplate_shares(_id_texts(spark, sf), "doc_id")
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query("X4_boilerplate_runs")
+def boilerplate_runs(spark: SparkSession, sf: str) -> DataFrame:
+    flagged = boilerplate.flagged_lines(_id_texts(spark, sf), "doc_id")
+    found = boilerplate.boilerplate_runs(flagged)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.col("start_line").cast("long").alias("start_line"),
+        F.col("end_line").cast("long").alias("end_line"),
+        "n_lines",
+    )
+
+
+@query("X4_check_boilerplate")
+def check_boilerplate(spark: SparkSession, sf: str) -> DataFrame:
+    return _flags(boilerplate.check_boilerplate(_id_texts(spark, sf), "doc_id"))
+
+
 @query("X5_review_tiers")
 def review_tiers(spark: SparkSession, sf: str) -> DataFrame:
     score = F.least(F.col("value") / 50.0, F.lit(1.0))

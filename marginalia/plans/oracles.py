@@ -409,6 +409,39 @@ def _report() -> str:
     return f"{_SUITE_CTE}, {ctes}, checks AS ({_SUITE_ROWS}) " + " UNION ALL ".join(parts)
 
 
+def _near_ctes() -> str:
+    """Per document its key and shingles; pairs of similar different keys by counting common shingles."""
+    return f"""k AS (SELECT doc_id, {normalise("coalesce(text, '')")} AS norm FROM documents),
+      w AS (SELECT norm, list_filter(string_split(norm, ' '), lambda x: x <> '') AS ws FROM (SELECT DISTINCT norm FROM k)),
+      sh AS (SELECT norm, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] ELSE list_distinct(list_transform(
+        range(0, greatest(len(ws) - 5, 0) + 1), lambda i: array_to_string(ws[i + 1:i + 5], ' '))) END) AS s FROM w),
+      n AS (SELECT norm, count(*) AS n FROM sh GROUP BY norm),
+      c AS (SELECT norm, min(doc_id) AS class_id, count(*) AS copies FROM k GROUP BY norm),
+      o AS (SELECT a.norm AS a, b.norm AS b, count(*) AS overlap FROM sh a JOIN sh b ON a.s = b.s AND a.norm < b.norm GROUP BY 1, 2),
+      pairs AS (SELECT a, b, overlap, x.n + y.n - overlap AS union_size FROM o JOIN n x ON x.norm = a JOIN n y ON y.norm = b
+        WHERE 100 * overlap >= 80 * (x.n + y.n - overlap)),
+      near AS (SELECT k.doc_id, class_id, copies, coalesce(n.n, 0) AS n_shingles,
+          coalesce(m.n_near, 0) AS n_near FROM k JOIN c USING (norm) LEFT JOIN n USING (norm)
+        LEFT JOIN (SELECT norm, count(*) AS n_near FROM (SELECT a AS norm FROM pairs UNION ALL SELECT b FROM pairs) GROUP BY norm) m
+          USING (norm))"""
+
+
+def _line_ctes() -> str:
+    """Lines that are not blank, numbered; lines of ten documents; runs of those."""
+    return f"""raw AS (SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line,
+        unnest(string_split(coalesce(text, ''), chr(10))) AS raw FROM documents),
+      l AS (SELECT doc_id, line, norm, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS nth
+        FROM (SELECT doc_id, line, {normalise('raw')} AS norm FROM raw) WHERE norm <> ''),
+      f AS (SELECT norm FROM l GROUP BY norm HAVING count(DISTINCT doc_id) >= 10),
+      runs AS (SELECT doc_id, min(line) AS start_line, max(line) AS end_line, count(*) AS n_lines FROM (
+          SELECT doc_id, line, nth - row_number() OVER (PARTITION BY doc_id ORDER BY nth) AS run FROM l JOIN f USING (norm))
+        GROUP BY doc_id, run),
+      shares AS (SELECT doc_id, coalesce(any_value(t.n), 0) AS n_lines, CAST(coalesce(sum(runs.n_lines), 0) AS BIGINT) AS n_flagged,
+          count(runs.n_lines) AS n_runs, coalesce(max(runs.n_lines), 0) AS longest_run
+        FROM documents LEFT JOIN (SELECT doc_id, count(*) AS n FROM l GROUP BY doc_id) t USING (doc_id)
+        LEFT JOIN runs USING (doc_id) GROUP BY doc_id)"""
+
+
 def sql() -> dict[str, str]:
     samples = ", ".join(q(s) for s in SAMPLE_TEXTS["intent"])
     gold_rows = ", ".join(f"({q(i)}, {q(t)}, {q(x)})" for i, t, x in GOLD_ITEMS["content_category"])
@@ -593,6 +626,26 @@ def sql() -> dict[str, str]:
             {r('CAST(sum(abs(coalesce(s.n, 0) * p.total - p.n * b.n)) AS DOUBLE) / CAST(any_value(2 * b.n * p.total) AS DOUBLE)', 4)}
               AS drift
           FROM b CROSS JOIN p LEFT JOIN s ON s.batch = b.batch AND s.label = p.label GROUP BY b.batch""",
+        "X3_near_duplicates": f"WITH {_near_ctes()} SELECT * FROM near",
+        "X3_near_duplicate_pairs": f"""WITH {_near_ctes()} SELECT least(x.class_id, y.class_id) AS id_a,
+            greatest(x.class_id, y.class_id) AS id_b, overlap, union_size
+          FROM pairs JOIN c x ON x.norm = a JOIN c y ON y.norm = b""",
+        "X3_check_near_duplicates": f"""WITH {_near_ctes()} SELECT 'Near Duplicates' AS "check", d AS near_duplicates,
+            {pct('d', 'n')} AS near_duplicate_pct, s AS different_but_similar, d = 0 AS passed,
+            CASE WHEN d > 0 THEN {commas('d')} || ' texts with copies or near copies' ELSE '' END AS issues
+          FROM (SELECT count(*) AS n, count(*) FILTER (WHERE n_near > 0 OR copies > 1) AS d,
+            count(*) FILTER (WHERE n_near > 0) AS s FROM near)""",
+        "X4_boilerplate_lines": f"WITH {_line_ctes()} SELECT *, {pct('n_flagged', 'n_lines')} AS flagged_pct FROM shares",
+        "X4_boilerplate_runs": f"WITH {_line_ctes()} SELECT * FROM runs",
+        "X4_check_boilerplate": f"""WITH {_line_ctes()} SELECT 'Boilerplate' AS "check", n_texts, n_lines, flagged_lines,
+            {pct('flagged_lines', 'n_lines')} AS flagged_lines_pct, with_boilerplate, mostly_boilerplate, longest_run,
+            mostly_boilerplate = 0 AS passed, concat_ws('; ',
+              CASE WHEN mostly_boilerplate > 0 THEN {commas('mostly_boilerplate')} || ' texts at least 50% boilerplate' END,
+              CASE WHEN with_boilerplate > 0 THEN {commas('with_boilerplate')} || ' texts with lines that many texts share' END)
+              AS issues
+          FROM (SELECT count(*) AS n_texts, CAST(sum(n_lines) AS BIGINT) AS n_lines, CAST(sum(n_flagged) AS BIGINT) AS flagged_lines,
+            count(*) FILTER (WHERE n_flagged > 0) AS with_boilerplate, max(longest_run) AS longest_run,
+            count(*) FILTER (WHERE {pct('n_flagged', 'n_lines')} >= 50) AS mostly_boilerplate FROM shares)""",
         "X5_review_tiers": """SELECT CASE WHEN c = 0 THEN '0%' WHEN c < 0.2 THEN '1–20%' WHEN c < 0.5 THEN '20–50%'
             WHEN c < 0.8 THEN '50–80%' ELSE '80–100%' END AS tier,
           CASE WHEN c = 0 THEN 'always review' WHEN c < 0.2 THEN 'review recommended' WHEN c < 0.5 THEN 'review if time allows'
