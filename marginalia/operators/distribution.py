@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marginalia.functions.numbers import percent, ratio, round_exact
 from marginalia.operators.checks import Check
+from marginalia.operators.prefix import RANGE, with_totals_before
 
 # A class this many times its even share dominates; Gini from here on fails.
 DOMINANCE = 5
@@ -21,27 +22,29 @@ def label_distribution(df: DataFrame, label_col: str = "final_label") -> DataFra
     return counts.withColumn("pct", percent(F.col("count"), total)).orderBy(F.desc("count"), "label")
 
 
-def _ranked_classes(df: DataFrame, label_col: str, auto_col: str | None) -> DataFrame:
+def _classes(df: DataFrame, label_col: str, auto_col: str | None) -> DataFrame:
+    """label, n, agree per class, with the number of rows and classes and the sum of rank times n.
+
+    Ranks go by rising n. Classes of equal n follow each other, so all of a size add up in closed form,
+    given how many classes are smaller; no class is ranked by itself.
+    """
     agree = F.count_if(F.col(auto_col) == F.col(label_col)) if auto_col else F.lit(None).cast("long")
     counts = df.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"), agree.alias("agree"))
-    # Windows here run over one row per label, after aggregation.
-    every, ascending = Window.partitionBy(), Window.orderBy("n", "label")
-    ranked = counts.select(
-        "label",
-        "n",
-        "agree",
-        F.sum("n").over(every).alias("total"),
-        F.count(F.lit(1)).over(every).alias("k"),
-        F.row_number().over(ascending).alias("rank"),
+    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("m"))
+    # Some thousand ranges at most: 64 for each doubling of n.
+    ranged = sizes.withColumn(RANGE, F.floor(F.log2("n") * 64))
+    placed = with_totals_before(ranged, ["n"], "m", "smaller")
+    m, smaller = F.col("m").cast("decimal(19,0)"), F.col("smaller")
+    ranks = m * smaller.cast("decimal(19,0)") + F.expr("cast(m as decimal(19,0)) * (cast(m as decimal(19,0)) + 1) div 2")
+    ranked = placed.agg(F.sum(F.col("n") * ranks.cast("double")).alias("ranked")).scalar()
+    whole = counts.agg(F.struct(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k")).alias("whole")).scalar()
+    return counts.select(
+        "label", "n", "agree", whole["total"].alias("total"), whole["k"].alias("k"), ranked.alias("ranked")
     )
-    # Summed in rank order, so the last digits do not depend on how rows arrive.
-    weight = F.col("rank") * ratio(F.col("n"), F.col("total"))
-    upto = ascending.rowsBetween(Window.unboundedPreceding, 0)
-    return ranked.withColumn("ranked_share", F.sum(weight).over(upto))
 
 
 def distribution_check() -> Check:
-    """Over ranked classes: class count, Gini, agreement, dominant classes."""
+    """Over classes: class count, Gini, agreement, dominant classes."""
     n, total, k = F.col("n"), F.col("total"), F.col("k")
     share_pct = ratio(n, total) * 100
     even = 1 / k
@@ -64,7 +67,7 @@ def distribution_check() -> Check:
             "gini": F.coalesce(
                 F.when(
                     F.max("k") > 1,
-                    (2 * F.max("ranked_share") - (F.max("k") + 1)) / F.max("k"),
+                    (2 * F.max("ranked") / F.max("total") - (F.max("k") + 1)) / F.max("k"),
                 ),
                 F.lit(0.0),
             ),
@@ -84,8 +87,8 @@ def distribution_check() -> Check:
 def distribution_totals(
     df: DataFrame, label_col: str = "final_label", auto_col: str = "auto_label"
 ) -> DataFrame:
-    ranked = _ranked_classes(df, label_col, auto_col if auto_col in df.columns else None)
-    return ranked.agg(*distribution_check().total_columns())
+    classes = _classes(df, label_col, auto_col if auto_col in df.columns else None)
+    return classes.agg(*distribution_check().total_columns())
 
 
 def check_label_distribution(

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from marginalia import __version__
 from marginalia.functions.numbers import percent, round_exact
+from marginalia.operators.median import exact_median
+from marginalia.sources.paths import stored
 
 # Fixed value: what the summary calls low confidence (the review threshold is another).
 LOW_CONFIDENCE = 0.2
@@ -40,7 +42,8 @@ def label_shares(records: DataFrame, label_col: str = "final_label") -> DataFram
 
 def confidence_stats(records: DataFrame) -> DataFrame:
     """One row: mean, median, min, max (4 decimals) and share of exact zeros (2)."""
-    return _stats(label_profile(records)).select("mean", "median", "min", "max", "pct_zero")
+    profile = stored(label_profile(records), "profile")
+    return _with_median(profile.agg(*_stat_columns()), profile).select("mean", "median", "min", "max", "pct_zero")
 
 
 def review_stats(records: DataFrame) -> DataFrame:
@@ -78,7 +81,6 @@ def _stat_columns() -> list:
         total.alias("total_records"),
         F.min("task").alias("task"),
         or_zero(F.sum(c * n) / F.sum(n)).alias("mean"),
-        or_zero(F.percentile(c, 0.5, n)).alias("median"),
         or_zero(F.min(c)).alias("min"),
         or_zero(F.max(c)).alias("max"),
         percent(_weighted(c == 0), total).alias("pct_zero"),
@@ -91,17 +93,20 @@ def _stat_columns() -> list:
     ]
 
 
-def _stats(profile: DataFrame) -> DataFrame:
-    return profile.agg(*_stat_columns())
+def _with_median(stats: DataFrame, profile: DataFrame) -> DataFrame:
+    """The exact median of all confidences as a scalar subquery: imported ones may be any number of values."""
+    median = exact_median(profile, "auto_confidence", "n").scalar()
+    return stats.withColumn("median", F.coalesce(round_exact(median, 4), F.lit(0.0)))
 
 
 def annotation_summary(records: DataFrame) -> DataFrame:
     """The whole run in one nested row."""
-    profile = label_profile(records).fillna("", ["final_label", "auto_label"])
+    profile = stored(label_profile(records).fillna("", ["final_label", "auto_label"]), "profile")
     # Three groupings of the small profile in one job: totals, per final and per auto label.
     levels = profile.groupingSets(
         [[], [F.col("final_label")], [F.col("auto_label")]], F.col("final_label"), F.col("auto_label")
     ).agg(F.grouping_id().alias("level"), *_stat_columns())
+    levels = _with_median(levels, profile)
     final_level, auto_level, total_level = 1, 2, 3
     at_total = F.col("level") == total_level
 

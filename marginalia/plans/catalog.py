@@ -34,7 +34,7 @@ from marginalia.operators import (
 from marginalia.operators.checks import Check
 from marginalia.plans import qa_suite
 from marginalia.schemas import RECORD_FIELDS
-from marginalia.sources import annotated, readers, reviewtool, rules, samples, writers
+from marginalia.sources import annotated, readers, reviewtool, rules, samples, splitcsv, writers
 from marginalia.sources.layout import spread
 from marginalia.sources.paths import shared_folder, stored
 from marginalia.sources.vocabulary import BUILT_IN_RULES, LANGUAGE_RULES
@@ -164,6 +164,13 @@ def scan_csv(spark: SparkSession, sf: str) -> DataFrame:
     return _digest_rows(readers.scan_csv(spark, _csv_round_trip(spark, sf, ".csv", ",")))
 
 
+@query("S1_scan_csv_splits")
+def scan_csv_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with line breaks and quotes, through the reader that takes a file apart."""
+    path = _csv_round_trip(spark, sf, ".csv", ",")
+    return _digest_rows(splitcsv.read_split_csv(spark, path, ["id", "text", "lang"]))
+
+
 @query("S2_scan_tsv")
 def scan_tsv(spark: SparkSession, sf: str) -> DataFrame:
     return _digest_rows(readers.scan_tsv(spark, _csv_round_trip(spark, sf, ".tsv", "\t")))
@@ -292,7 +299,7 @@ def _review_tasks(spark: SparkSession, sf: str) -> str:
 
 @query("K3_sink_label_studio")
 def sink_label_studio(spark: SparkSession, sf: str) -> DataFrame:
-    tasks = spark.read.json(_review_tasks(spark, sf))
+    tasks = spark.read.json(_review_tasks(spark, sf), multiLine=True)
     annotation, prediction = F.col("annotations")[0], F.col("predictions")[0]
     chosen, guessed = annotation["result"][0], prediction["result"][0]
     return tasks.select(
@@ -343,7 +350,7 @@ def export_dispatch(spark: SparkSession, sf: str) -> DataFrame:
         "records": spark.read.parquet(paths["records"]).select("auto_label"),
         "csv": readers.scan_csv(spark, paths["csv"]).select("auto_label"),
         "jsonl": spark.read.schema("auto_label string").json(paths["jsonl"]),
-        "review_tasks": reviewtool.import_review_tasks(spark, paths["review_tasks"]).select("auto_label"),
+        "review_tasks": reviewtool.import_review_tasks(spark, paths["review_tasks"], multi_line=True).select("auto_label"),
     }
     return reduce(
         DataFrame.unionByName,
@@ -992,7 +999,7 @@ def annotator_scorecard(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("X7_import_label_studio")
 def import_label_studio(spark: SparkSession, sf: str) -> DataFrame:
-    back = reviewtool.import_review_tasks(spark, _review_tasks(spark, sf))
+    back = reviewtool.import_review_tasks(spark, _review_tasks(spark, sf), multi_line=True)
     return back.select(
         "source_id", "auto_label", "auto_confidence", "final_label", "human_override",
         F.md5("text").alias("text_md5"),

@@ -454,6 +454,7 @@ def sql() -> dict[str, str]:
     )
     queries = {
         "S1_scan_csv": _DIGESTS,
+        "S1_scan_csv_splits": _DIGESTS,
         "S2_scan_tsv": _DIGESTS,
         "S3_scan_json_array": _DIGESTS,
         "S4_scan_jsonl": _DIGESTS,

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from marginalia.functions.numbers import coerce_bool, coerce_confidence
-from marginalia.sources.paths import require_path
-from marginalia.sources.readers import scan_csv
+from marginalia.sources.paths import suffix_of
+from marginalia.sources.readers import FORMATS, scan
 
 # What a quality check needs, and other accepted spellings, tried in order.
 REQUIRED_COLUMNS = ["text", "final_label", "auto_label", "auto_confidence"]
@@ -47,12 +48,28 @@ def conform(df: DataFrame, required: list[str] | None = None) -> DataFrame:
     return renamed.withColumns(typed)
 
 
-def scan_annotated(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    require_path(spark, path)
-    return conform(scan_csv(spark, path, multi_line=multi_line))
+def scan_annotated(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = True,
+    format: str | None = None,
+    schema: str | StructType | None = None,
+) -> DataFrame:
+    """Any file or folder ``readers.scan`` opens, CSV where neither ``format`` nor its suffix tells."""
+    return conform(_scan_table(spark, path, multi_line, format, schema))
 
 
-def scan_gold(spark: SparkSession, path: str) -> DataFrame:
+def scan_gold(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = True,
+    format: str | None = None,
+    schema: str | StructType | None = None,
+) -> DataFrame:
     """A gold file needs only an id and the true label."""
-    require_path(spark, path)
-    return conform(scan_csv(spark, path), GOLD_COLUMNS)
+    return conform(_scan_table(spark, path, multi_line, format, schema), GOLD_COLUMNS)
+
+
+def _scan_table(spark, path, multi_line, format, schema) -> DataFrame:
+    known = format or ("csv" if suffix_of(path).lstrip(".") not in FORMATS else None)
+    return scan(spark, path, multi_line, known, schema)

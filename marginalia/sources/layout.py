@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Default size of one file split in Spark.
 ONE_SPLIT = 128 * 1024 * 1024
@@ -45,3 +48,16 @@ def small_enough(df: DataFrame) -> bool:
     limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower()
     limit_bytes = int(limit.rstrip("b")) if limit.rstrip("b").lstrip("-").isdigit() else BROADCAST_LIMIT
     return size is not None and size <= limit_bytes
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """The session's bound on one file split."""
+    told = spark.conf.get("spark.sql.files.maxPartitionBytes", str(ONE_SPLIT)).strip().lower()
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", told).groups()
+    return int(number) << 10 * " kmgt".index(unit or " ")
+
+
+def largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file at a path; only the listing is read."""
+    sizes = spark.read.format("binaryFile").load(path).select("length")
+    return sizes.agg(F.coalesce(F.max("length"), F.lit(0))).first()[0]

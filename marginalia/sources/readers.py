@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marginalia.functions.text import strip
-from marginalia.sources.layout import split_bound
+from marginalia.operators.prefix import by_range, with_totals_before
+from marginalia.sources.layout import largest_file, split_bound, split_bytes
 from marginalia.sources.paths import require_path, suffix_of
+from marginalia.sources.splitcsv import read_split_csv
 
 # Accepted column names, best first.
 TEXT_COLUMNS = [
@@ -18,6 +22,11 @@ TEXT_COLUMNS = [
 ]
 ID_COLUMNS = ["id", "review_id", "post_id", "comment_id", "item_id"]
 
+# Where a row stands: its file, the split of it, and its place there.
+ORIGIN = ["__file", "__block", "__pos"]
+
+_PLAIN_PATH = re.compile(r"[\w./:=+-]+", re.ASCII)
+
 # Splits of some 200 bytes each that are still broadcast (about 40 MB).
 MAX_BROADCAST_SPLITS = 200_000
 
@@ -27,21 +36,31 @@ def _all_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns])
 
 
-def scan_csv(spark: SparkSession, path: str, sep: str = ",", multi_line: bool = True) -> DataFrame:
+def scan_csv(
+    spark: SparkSession, path: str, sep: str = ",", multi_line: bool = True, origin: bool = False
+) -> DataFrame:
     """Header row, every column a string, empty stays empty, quotes doubled inside quotes.
 
-    Quoted line breaks need ``multi_line``, which reads one file per task. Files without
-    them should pass ``multi_line=False`` so that large files split.
+    Quoted line breaks are understood, and files larger than a split are still read in many tasks (see
+    ``splitcsv``). ``multi_line=False`` spares files without such breaks the pass that
+    looks for them. ``origin`` keeps what that way of reading knows of the order of rows.
     """
     reader = spark.read.options(
         header=True, sep=sep, quote='"', escape='"', multiLine=multi_line, inferSchema=False,
         enforceSchema=False,  # files whose header differs are refused, not misread
     )
-    return _all_text(reader.csv(path))
+    plain = reader.csv(path)
+    if not multi_line or largest_file(spark, path) <= split_bytes(spark):
+        return _all_text(plain)
+    rows = read_split_csv(spark, path, plain.columns, sep)
+    texts = _all_text(rows.select(*plain.columns))
+    if not origin:
+        return texts
+    return rows.select(*ORIGIN, *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in plain.columns])
 
 
-def scan_tsv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    return scan_csv(spark, path, sep="\t", multi_line=multi_line)
+def scan_tsv(spark: SparkSession, path: str, multi_line: bool = True, origin: bool = False) -> DataFrame:
+    return scan_csv(spark, path, sep="\t", multi_line=multi_line, origin=origin)
 
 
 def scan_json_array(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
@@ -60,7 +79,7 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return _all_text(spark.read.parquet(path))
 
 
-_FORMATS = ["csv", "tsv", "json", "jsonl", "ndjson", "parquet"]
+FORMATS = ["csv", "tsv", "json", "jsonl", "ndjson", "parquet"]
 
 
 def scan(
@@ -69,6 +88,7 @@ def scan(
     multi_line: bool = True,
     format: str | None = None,
     schema: str | StructType | None = None,
+    origin: bool = False,
 ) -> DataFrame:
     """Pick the reader by ``format``, else by the lower-cased suffix.
 
@@ -77,10 +97,10 @@ def scan(
     """
     require_path(spark, path)
     found = format or suffix_of(path).lstrip(".")
-    if found not in _FORMATS:
-        raise ValueError(f"unsupported format {found!r}; use one of {_FORMATS}")
+    if found not in FORMATS:
+        raise ValueError(f"unsupported format {found!r}; use one of {FORMATS}")
     if found in ("csv", "tsv"):
-        return (scan_csv if found == "csv" else scan_tsv)(spark, path, multi_line=multi_line)
+        return (scan_csv if found == "csv" else scan_tsv)(spark, path, multi_line=multi_line, origin=origin)
     if found == "parquet":
         return scan_parquet(spark, path)
     return (scan_json_array if found == "json" else scan_jsonl)(spark, path, schema)
@@ -111,8 +131,11 @@ def detect_id_column(columns: list[str], id_col: str | None = None) -> str | Non
 def _with_origin(df: DataFrame) -> DataFrame:
     """Tag rows with their file split and a position that grows in file order inside it.
 
-    Must be applied straight to a reader's output: both are facts of the scan.
+    Must be applied straight to a reader's output: both are facts of the scan. The reader of
+    split CSV files has told them already.
     """
+    if set(ORIGIN) <= set(df.columns):
+        return df
     return df.withColumns(
         {
             "__file": F.when(F.input_file_name() != "", F.input_file_name()).otherwise(
@@ -129,11 +152,8 @@ def _split_offsets(df: DataFrame) -> DataFrame:
     splits = df.groupBy("__file", "__block").agg(
         F.count(F.lit(1)).alias("__rows"), F.min("__pos").alias("__first")
     )
-    # One row per file split: the window runs over split counts, never over data.
-    before = F.sum("__rows").over(
-        Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = splits.select("__file", "__block", "__first", F.coalesce(before, F.lit(0)).alias("__before"))
+    order = ["__file", "__block"]
+    offsets = with_totals_before(by_range(splits, order, "splits"), order, "__rows", "__before").drop("__rows")
     # One short row per split. Within the bound, tell the planner: its own estimate is that
     # of the whole table, and it would shuffle the texts to meet these rows.
     bound = split_bound(df)
@@ -165,6 +185,25 @@ def _first_rows(df: DataFrame, limit: int) -> DataFrame:
     )
 
 
+def _first_files(df: DataFrame, has_text: Column, limit: int) -> DataFrame:
+    """``df`` without the files that lie behind the first ``limit`` rows with text.
+
+    Counting stops at the limit in every task, and files that are not asked for are not opened.
+    """
+    files = sorted(df.inputFiles())
+    # Names that are spelled alike as paths and as addresses.
+    if len(files) < 2 or not all(_PLAIN_PATH.fullmatch(f) for f in files):
+        return df
+    name = F.col("_metadata.file_path")
+    taken = 1
+    while taken < len(files):
+        few = df.filter(name.isin(files[:taken]))
+        if few.filter(has_text).limit(limit).count() == limit:
+            return few
+        taken *= 8
+    return df
+
+
 def clean(
     df: DataFrame,
     text_col: str | None = None,
@@ -177,22 +216,23 @@ def clean(
     ids may keep gaps; that and ``limit`` need ``df`` to come straight from a reader and
     cost one extra narrow pass each. Prefer a table with an id at scale.
     """
-    text_name = detect_text_column(df.columns, text_col)
-    id_name = detect_id_column(df.columns, id_col)
+    names = [c for c in df.columns if c not in ORIGIN]
+    text_name = detect_text_column(names, text_col)
+    id_name = detect_id_column(names, id_col)
+    text = strip(F.coalesce(F.col(f"`{text_name}`").cast("string"), F.lit("")))
+    if limit and not set(ORIGIN) <= set(df.columns):
+        df = _first_files(df, F.char_length(text) > 0, limit)
     if id_name is None or limit:
         df = _with_origin(df)
     if id_name is None:
         df = _number_rows(df, "__ordinal")
         id_name = "__ordinal"
-    cleaned = df.withColumns(
-        {
-            "_text": strip(F.coalesce(F.col(f"`{text_name}`").cast("string"), F.lit(""))),
-            "_id": F.col(f"`{id_name}`").cast("string"),
-        }
-    ).filter(F.char_length("_text") > 0)
+    cleaned = df.withColumns({"_text": text, "_id": F.col(f"`{id_name}`").cast("string")}).filter(
+        F.char_length("_text") > 0
+    )
     if limit:
         cleaned = _first_rows(cleaned, limit)
-    return cleaned.drop("__file", "__block", "__pos", "__ordinal")
+    return cleaned.drop(*ORIGIN, "__ordinal")
 
 
 def load(
@@ -206,4 +246,4 @@ def load(
     schema: str | StructType | None = None,
 ) -> DataFrame:
     """Read any supported file or folder and clean it; see ``scan`` for the last three."""
-    return clean(scan(spark, path, multi_line, format, schema), text_col, id_col, limit)
+    return clean(scan(spark, path, multi_line, format, schema, origin=True), text_col, id_col, limit)

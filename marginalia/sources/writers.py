@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia import __version__
+from marginalia.operators.review import REVIEW_THRESHOLD, review_queue
 from marginalia.operators.summary import annotation_summary
 from marginalia.schemas import RECORD_FIELDS
 from marginalia.sources.rules import RuleSet
@@ -116,7 +117,14 @@ def write_json_array(df: DataFrame, path: str) -> str:
 
 
 def write_review_tasks(records: DataFrame, path: str, task: str) -> str:
-    review_tasks(records, task).write.json(path, ignoreNullFields=False)
+    """One JSON array of tasks per part file, which is what the review tool imports."""
+    return write_json_array(review_tasks(records, task), path)
+
+
+def write_review_queue(records: DataFrame, path: str, threshold: float = REVIEW_THRESHOLD) -> str:
+    """What a reviewer should see, least certain first, as JSON lines."""
+    queue = review_queue(records, threshold, "source_id")
+    queue.select("source_id", "text", "task", "auto_label", "auto_confidence").write.json(path, ignoreNullFields=False)
     return path
 
 
@@ -127,9 +135,15 @@ def write_summary(records: DataFrame, path: str) -> str:
 
 
 def export(
-    spark: SparkSession, records: DataFrame, folder: str, rule_set: RuleSet, mode: str = "csv"
+    spark: SparkSession,
+    records: DataFrame,
+    folder: str,
+    rule_set: RuleSet,
+    mode: str = "csv",
+    review_below: float | None = None,
 ) -> dict[str, str]:
-    """Write every output of a labelling run; review-tool tasks only where asked for.
+    """Write every output of a labelling run; review-tool tasks only where asked for, and the queue of
+    items under the confidence ``review_below`` where that is given.
 
     The records are computed once, into parquet. Each further sink reads that table, so
     ids and times agree between outputs and a lost executor costs a re-read, not a rerun.
@@ -141,6 +155,8 @@ def export(
     paths["jsonl"] = write_jsonl(stored, f"{folder}/jsonl")
     if mode in REVIEW_TOOL_MODES:
         paths["review_tasks"] = write_review_tasks(stored, f"{folder}/review_tasks", rule_set.task)
+    if review_below is not None:
+        paths["review_queue"] = write_review_queue(stored, f"{folder}/review_queue", review_below)
     paths["summary"] = write_summary(stored, f"{folder}/summary")
     return paths
 

@@ -182,7 +182,7 @@ def test_sinks_round_trip(spark, texts, tmp_path):
     nested = spark.read.json(paths["jsonl"])
     assert sorted(r["text"] for r in nested.collect()) == sorted(NASTY)
     assert nested.select("auto_signals.Positive").count() == len(NASTY)
-    back = reviewtool.import_review_tasks(spark, paths["review_tasks"]).collect()
+    back = reviewtool.import_review_tasks(spark, paths["review_tasks"], multi_line=True).collect()
     assert sorted(r["text"] for r in back) == sorted(NASTY) and not any(r["human_override"] for r in back)
     ids = {r["record_id"] for r in spark.read.parquet(paths["records"]).collect()}
     assert ids == {r["record_id"] for r in flat.collect()} == {r["record_id"] for r in nested.collect()}
