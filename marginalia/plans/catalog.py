@@ -8,6 +8,7 @@ at; ``events`` supplies plain categorical labels.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -22,6 +23,7 @@ from marginalia.operators import (
     distribution,
     duplicates,
     golden,
+    history,
     labelling,
     near_duplicates,
     overrides,
@@ -795,8 +797,8 @@ def top_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     return agreement.top_conflicts(pairs)
 
 
-def _texts_with_source(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents").select("text", F.col("source").alias("final_label")))
+def _texts_with_source(spark: SparkSession, sf: str, *columns: Column) -> DataFrame:
+    return spread(table(spark, sf, "documents").select("text", F.col("source").alias("final_label"), *columns))
 
 
 @query("Q6_check_duplicates")
@@ -810,6 +812,17 @@ def duplicate_label_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.md5("text_key").alias("key_md5"), "copies", "labels")
 
 
+@query("Q6_duplicates_with_history")
+def duplicates_with_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches make up the documents: two come into the index, one of them twice, the last is checked."""
+    docs = _texts_with_source(spark, sf, F.pmod(F.col("doc_id"), F.lit(3)).alias("third"))
+    name = f"marginalia_{uuid.uuid4().hex}"
+    history.open_index(spark, name, shared_folder(spark, "digest-index"))
+    for batch in (0, 1, 0):
+        history.add_batch(spark, name, f"b{batch}", docs.filter(F.col("third") == batch))
+    return history.duplicates_with_history(spark, name, docs.filter("third = 2"))
+
+
 @query("Q7_check_text_quality")
 def check_text_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("text")

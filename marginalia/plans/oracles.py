@@ -583,6 +583,10 @@ def sql() -> dict[str, str]:
         "Q6a_duplicate_label_conflicts": f"""SELECT md5(k) AS key_md5, count(*) AS copies, count(DISTINCT source) AS labels
           FROM (SELECT {normalise('text')} AS k, source FROM documents) GROUP BY k
           HAVING count(DISTINCT source) > 1""",
+        "Q6_duplicates_with_history": f"""SELECT sha256(k) AS digest, count(*) FILTER (WHERE third = 2) AS copies,
+            count(*) FILTER (WHERE third < 2) AS earlier, count(DISTINCT source) AS labels, count(DISTINCT source) > 1 AS conflicting
+          FROM (SELECT {normalise('text')} AS k, source, doc_id % 3 AS third FROM documents)
+          GROUP BY k HAVING count(*) FILTER (WHERE third = 2) > 0""",
         "Q7_check_text_quality": text_quality("documents"),
         "Q8_check_golden_set": f"WITH {PRED}, {GOLD}, {AUTO_GOLD} {golden_check('ag')}",
         "Q8a_per_label_prf": f"WITH {PRED}, {GOLD}, {AUTO_GOLD} {prf('ag')}",

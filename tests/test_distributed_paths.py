@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marginalia.functions.bloom import bloom_filter, may_contain
 from marginalia.functions.text import normalise
-from marginalia.operators import boilerplate, distribution, near_duplicates, prefix
+from marginalia.operators import boilerplate, distribution, history, near_duplicates, prefix
 from marginalia.operators.median import exact_median, from_bits, ordered_bits
 from marginalia.plans import label_job
 from marginalia.sources import readers, splitcsv
@@ -273,3 +273,48 @@ def test_near_duplicates_against_all_pairs(spark):
 def test_normalised_words_have_single_spaces(spark):
     row = spark.createDataFrame([(" A  b\n\tC ",)], "t string").select(normalise(F.col("t"))).first()
     assert row[0] == "a b c"
+
+
+# --- history ------------------------------------------------------------------------------
+
+
+def labelled_texts(spark, *rows):
+    return spark.createDataFrame(list(rows), "text string, final_label string")
+
+
+def test_duplicates_among_earlier_batches(spark, tmp_path):
+    path = str(tmp_path / "index")
+    history.open_index(spark, "seen_texts", path, 4)
+    first = labelled_texts(spark, ("Good  day", "a"), ("good day", "a"), ("bad day", "b"), (None, "c"))
+    history.add_batch(spark, "seen_texts", "one", labelled_texts(spark, ("wrong", "x")), 4)
+    history.add_batch(spark, "seen_texts", "one", first, 4)  # replaces what was wrong
+    history.add_batch(spark, "seen_texts", "two", labelled_texts(spark, ("bad day", "a")), 4)
+    new = labelled_texts(spark, ("GOOD DAY", "b"), ("bad day", "b"), ("", "c"), ("new", "a"), ("new", "a"), ("wrong", None))
+    found = history.duplicates_with_history(spark, "seen_texts", new)
+    got = sorted((r["copies"], r["earlier"], r["labels"], r["conflicting"]) for r in found.collect())
+    assert got == sorted([(1, 2, 2, True), (1, 2, 2, True), (1, 1, 1, False), (2, 0, 1, False), (1, 0, 0, False)])
+    row = history.check_with_history(spark, "seen_texts", new).first()
+    assert (row["seen_before"], row["duplicates"], row["conflicting_texts"], row["passed"]) == (3, 5, 2, False)
+    # Its own former rows do not count against a batch; an empty batch leaves nothing behind.
+    assert history.duplicates_with_history(spark, "seen_texts", first, "one").agg(F.sum("earlier")).first()[0] == 1
+    history.add_batch(spark, "seen_texts", "two", labelled_texts(spark), 4)
+    assert history.duplicates_with_history(spark, "seen_texts", first, "one").agg(F.sum("earlier")).first()[0] == 0
+    # Another session finds the same index by its folder.
+    history.open_index(spark, "seen_again", path, 4)
+    assert spark.table("seen_again").filter("digest is not null").count() == 3
+    assert history.check_with_history(spark, "seen_again", new.limit(0)).first()["skipped"]
+
+
+def test_the_index_is_not_shuffled(spark, tmp_path):
+    history.open_index(spark, "still_texts", str(tmp_path / "index"), 4)
+    history.add_batch(spark, "still_texts", "one", labelled_texts(spark, ("a", "x"), ("b", "y")), 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = history.duplicates_with_history(spark, "still_texts", labelled_texts(spark, ("a", "z")), buckets=4)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    before_join = plan[plan.index("SortMergeJoin") :]
+    index_side = before_join[: before_join.index("still_texts")]
+    assert "Bucketed: true" in before_join and "Exchange" not in index_side
