@@ -16,7 +16,6 @@ empty table gives no rows; other columns are not looked at.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -42,7 +41,6 @@ EPOCHS = 6
 LEAST_STEPS = 600
 BATCH = 64
 
-_LETTER = re.compile(r"[^\W\d_]")
 _STEP = WINDOW - max(WIDTHS) + 1
 
 
@@ -190,7 +188,8 @@ def identify(docs: DataFrame, network: Network | None, key: str = "doc_id", text
 
 
 def _one(text: str | None, predict: Callable | None, network: Network | None) -> tuple[str, float]:
-    if predict is None or text is None or not _LETTER.search(text):
+    # Letters as in ``fit``: numerals such as "²", which are word characters, are none.
+    if predict is None or text is None or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0
     raw = text.encode()
     x, sizes = windows(raw), _sizes(raw)

@@ -29,6 +29,9 @@ def test_network_tells_languages_apart_and_trains_alike():
     again = language_id.train([t.encode() for t, _ in rows], [g for _, g in rows])
     assert np.array_equal(network.dense, again.dense)
     predict = network.predictor()
+    # Numerals of any kind are no letters; a letter of an unknown script is one.
+    assert {language_id._one(t, predict, network)[0] for t in ("²", "½ ①", "Ⅷ 3", "_ 12")} == {"und"}
+    assert language_id._one("² 漢", predict, network)[0] != "und"
     found = [language_id._one(t, predict, network) for t, _ in labelled(40, 2)]
     right = [f[0] == g for f, (_, g) in zip(found, labelled(40, 2))]
     assert np.mean(right) > 0.97 and all(0 <= f[1] <= 1 for f in found)
