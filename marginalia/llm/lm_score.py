@@ -43,21 +43,25 @@ MOST_PARTS = 4096
 _PIECE = "kind string, part int, block long, a binary, b binary"
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bool], list[list[bytes]]]]:
-    ids, held, words, size = [], [], [], 0
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bool], list[bytes], Counter[bytes]]]:
+    """ids, held, streams of some ``BLOCK_BYTES`` of texts, and all their words, counted in training texts."""
+    ids, held, streams, counts, size = [], [], [], Counter(), 0
     for batch in batches:
         columns = [batch.column(c) for c in ("doc_id", "held", "text")]
         for doc_id, out, text in zip(*columns):
             data = text.as_py() or b""
             if ids and size + len(data) > BLOCK_BYTES:
-                yield ids, held, words
-                ids, held, words, size = [], [], [], 0
+                yield ids, held, streams, counts
+                ids, held, streams, counts, size = [], [], [], Counter(), 0
+            words = ppm.words_of(data)
             ids.append(doc_id.as_py())
             held.append(bool(out.as_py()))
-            words.append(ppm.words_of(data))
+            streams.append(ppm.stream_of(words))
+            words.append(b"")
+            counts.update(dict.fromkeys(words, 0) if held[-1] else words)
             size += len(data)
     if ids:
-        yield ids, held, words
+        yield ids, held, streams, counts
 
 
 def _word_rows(counts: dict[bytes, int], parts: int) -> Iterator[tuple[int, bytes, bytes]]:
@@ -85,20 +89,10 @@ def _window_rows(keys: np.ndarray, counts: np.ndarray, parts: int) -> Iterator[t
 def _pieces(parts: int, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        for ids, held, words in _blocks(batches):
-            counts: Counter[bytes] = Counter()
-            for ws, out in zip(words, held):
-                if not out:
-                    counts.update(ws)
-            for ws, out in zip(words, held):
-                if out:
-                    counts.update(dict.fromkeys(ws, 0))
-            counts[b""] += sum(not x for x in held)
-            streams = [ppm.stream_of(ws) for ws in words]
-            del words
+        for ids, held, streams, counts in _blocks(batches):
             known, n = ppm.count_windows([s for s, out in zip(streams, held) if not out])
             others, _ = ppm.count_windows([s for s, out in zip(streams, held) if out])
-            keys, n = ppm.summed(np.concatenate([known, others]), np.concatenate([n, np.zeros(len(others), np.int64)]))
+            keys, n = ppm.summed(np.concatenate([known, others]), np.concatenate([n, np.zeros(len(others), np.int32)]))
             rows = [("windows", *x) for x in _window_rows(keys, n, parts)]
             rows += [("words", *x) for x in _word_rows(counts, parts)]
             for kind, part, a, b in rows:
@@ -175,7 +169,7 @@ def _look_up(pairs: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
             trie = ppm.Model(*known, pairs)
             for part, block, keys in zip(*[asked.column(c) for c in ("part", "block", "a")]):
                 score = trie.log10(ppm.unpack(keys.as_py(), rising=True)).astype(np.float32)
-                rows.append((kind, part.as_py(), block.as_py(), None, ppm.pack(score.view(np.uint32))))
+                rows.append((kind, part.as_py(), block.as_py(), keys.as_py(), ppm.pack(score.view(np.uint32))))
         else:
             counts = dict(zip(_words(a), ppm.unpack(b).tolist())) if a else {}
             for part, block, words in zip(*[asked.column(c) for c in ("part", "block", "a")]):
@@ -186,46 +180,49 @@ def _look_up(pairs: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return look_up
 
 
-def _sum_up(parts: int, total: int, types: int, schema: pa.Schema) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _sum_up(total: int, types: int, schema: pa.Schema) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def sum_up(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
         row = docs.to_pylist()[0]
-        data, streams, start = ppm.unpack_bytes(row["a"]), [], 0
+        data, streams, start = ppm.unpack_bytes(row.pop("a")), [], 0
         for size in row["sizes"]:
             streams.append(data[start : start + size])
             start += size
-        counts: dict[bytes, int] = {}
-        scores: dict[int, np.ndarray] = {}
-        for kind, part, a, b in zip(*[answers.column(c) for c in ("kind", "part", "a", "b")]):
+        del data
+        counts: dict[bytes, int | float] = {}
+        keys, scores = [], []
+        for kind, a, b in zip(*[answers.column(c) for c in ("kind", "a", "b")]):
             if kind.as_py() == "words":
                 counts.update(zip(_words(a.as_py()), ppm.unpack(b.as_py()).tolist()))
             else:
-                scores[part.as_py()] = ppm.unpack(b.as_py()).astype(np.uint32).view(np.float32)
-        log = {w: math.log10((n + 1) / (total + types + 1)) for w, n in counts.items()}
+                keys.append(ppm.unpack(a.as_py(), rising=True))
+                scores.append(ppm.unpack(b.as_py()).astype(np.uint32).view(np.float32))
         unknown = {w for w, n in counts.items() if not n}
+        log = counts  # in place: there are many words
+        for word, n in counts.items():
+            log[word] = math.log10((n + 1) / (total + types + 1))
         n_tokens, n_known, base = [], [], []
         for s in streams:
             words = s.split() + [b""]
             n_tokens.append(len(words))
             n_known.append(len(words) - sum(map(unknown.__contains__, words)) if unknown else len(words))
             base.append(math.fsum(map(log.__getitem__, words)))
+        counts.clear()
         score = np.zeros(len(streams))
-        # Windows sorted together with their stream's place in the chunk, so that none is looked up twice.
-        sorted_chunks = []
+        every, values = np.concatenate(keys), np.concatenate(scores)
+        del keys, scores
+        order = np.argsort(every)
+        every, values = every[order], values[order].astype(np.float64)
+        del order
+        # Windows sorted together with their stream's place in the chunk: each is looked up once.
         for first, keys, of in ppm.chunks(streams):
             keys = keys << ppm.U(8) | of
             keys.sort()
-            sorted_chunks.append((first, keys))
-        distinct = [k[np.r_[True, k[1:] != k[:-1]]] for k in (keys >> ppm.U(8) for _, keys in sorted_chunks)]
-        every = np.unique(np.concatenate(distinct))
-        order, _ = ppm.by_part(every, parts)
-        values = np.empty(len(every))
-        values[order] = np.concatenate([scores[p] for p in sorted(scores)])
-        for (first, keys), here in zip(sorted_chunks, distinct):
             window = keys >> ppm.U(8)
-            value = values[np.searchsorted(every, here)]
-            value = np.repeat(value, np.diff(np.r_[np.flatnonzero(np.r_[True, window[1:] != window[:-1]]), len(window)]))
+            starts = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
+            value = values[np.searchsorted(every, window[starts])]
+            value = np.repeat(value, np.diff(np.r_[starts, len(window)]))
             sums = np.bincount((keys & ppm.U(255)).astype(np.int64), weights=value)
             score[first : first + len(sums)] += sums
         columns = [row["ids"], row["held"], n_tokens, n_known, [total] * len(streams), base, score]
@@ -284,7 +281,7 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
         blocks.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(
-            _sum_up(parts, total, types, out),
+            _sum_up(total, types, out),
             f"doc_id {id_type.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
             "base_score double, score double",
         )

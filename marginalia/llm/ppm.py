@@ -63,11 +63,14 @@ def chunks(streams: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
 
 
 def _windows(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8)
-    n = len(raw) - ORDER
-    key = raw[ORDER:].astype(np.uint64)
-    for back in range(1, ORDER + 1):
-        key |= raw[ORDER - back : ORDER - back + n].astype(np.uint64) << U(8 * (ORDER + 1 - back))
+    n = len(data) - ORDER
+    # Eight bytes from each place on, the oldest of the context lowest, the symbol at 48 bits.
+    eight = np.ndarray((n,), "<u8", data + b"\0", 0, (1,)).astype(np.uint64)
+    key = eight << U(8)
+    key &= U(0xFFFFFFFFFFFF00)
+    eight >>= U(48)
+    eight &= _BYTE
+    key |= eight
     return key
 
 
@@ -76,20 +79,28 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     if not len(keys):
         return keys, counts
     order = np.argsort(keys, kind="stable")
-    keys = keys[order]
+    keys, counts = keys[order], counts[order]
+    del order
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return keys[starts], np.add.reduceat(counts[order], starts)
+    return keys[starts], np.add.reduceat(counts, starts)
 
 
 def count_windows(streams: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    found = []
+    """Distinct sorted windows and their numbers; never much more than these are held at once."""
+    found = [(np.zeros(0, np.uint64), np.zeros(0, np.int32))]
+    held = 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        return summed(np.concatenate([k for k, _ in found]), np.concatenate([n for _, n in found]))
+
     for _, keys, _ in chunks(streams):
         keys.sort()
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        found.append((keys[starts], np.diff(np.r_[starts, len(keys)])))
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return summed(np.concatenate([k for k, _ in found]), np.concatenate([n for _, n in found]))
+        found.append((keys[starts], np.diff(np.r_[starts, len(keys)]).astype(np.int32)))
+        held += len(starts)
+        if held > CHUNK // 2:
+            found, held = [merged()], 0
+    return merged()
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
