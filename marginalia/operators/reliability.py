@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.functions.numbers import percent, ratio, round_exact
+from marginalia.sources.paths import stored
 
 # Documented gates and the length of a calibration set.
 MIN_COMPLETION_PCT = 95
@@ -67,13 +68,18 @@ def label_drift(df: DataFrame, batch_col: str, label_col: str) -> DataFrame:
     counts = df.groupBy(F.col(batch_col).alias("batch"), F.col(label_col).alias("label")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    # All windows run over batch-and-label counts, after aggregation. Whole numbers up to
-    # the final division, so the result does not depend on the order of summing.
+    # Read for each kind of total, hence written once. Totals are joined, so no task sees all batches of a label.
+    counts = stored(counts, "drift-counts")
+    by_batch = counts.groupBy("batch").agg(F.sum("n").alias("batch_n")).withColumnRenamed("batch", "of_batch")
+    by_label = counts.groupBy("label").agg(F.sum("n").alias("label_n")).withColumnRenamed("label", "of_label")
+    every = counts.agg(F.sum("n")).scalar()
+    counts = counts.join(by_batch, F.col("batch").eqNullSafe(F.col("of_batch"))).join(
+        by_label, F.col("label").eqNullSafe(F.col("of_label"))
+    )
+    # Whole numbers up to the final division, so the result does not depend on the order of summing.
     whole = "decimal(18,0)"
-    here = F.col("n").cast(whole)
-    in_batch = F.sum("n").over(Window.partitionBy("batch")).cast(whole)
-    of_label = F.sum("n").over(Window.partitionBy("label")).cast(whole)
-    total = F.sum("n").over(Window.partitionBy()).cast(whole)
+    here, in_batch, of_label = (F.col(c).cast(whole) for c in ("n", "batch_n", "label_n"))
+    total = every.cast(whole)
     expected = of_label * in_batch
     gaps = counts.select(
         "batch", "n", (F.abs(here * total - expected) - expected).alias("gap"), (in_batch * total).alias("scale")
