@@ -397,14 +397,15 @@ def near_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     prefixes = stored(_prefixes(nodes), "prefixes")
     members = stored(_by_hub(prefixes), "members")
     pairs = stored(_hub_pairs(members, nodes, rule), "hub-pairs")
-    sets = _sets(docs, nodes, members.select("node").distinct(), rule)
+    paired = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "paired")
+    sets = _sets(docs, nodes, paired, rule)
     links = stored(_confirmed(pairs, sets, rule), "links")
     left = _open_members(members, nodes, _roots(links), rule)
     block = ["hub", "class", "low", "high"]
     signatures = nodes.select("node", "signature")
     close = _blocks(left, signatures).groupBy(*block).applyInArrow(_finder(rule.percent), "node long").distinct()
     close = stored(close, "close")
-    near = sets.join(close, "node")
+    near = sets.join(close, "node").union(_sets(docs, nodes, close.join(paired, "node", "left_anti"), rule))
     details = signatures.join(stored(_shared(near, rule.percent), "shared"), "node").join(near, "node")
     more = stored(
         _blocks(left.join(close, "node"), details)
@@ -441,9 +442,10 @@ def keep_first(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """Full sets of the wanted nodes, made again from the texts of one document of each.
 
-    The texts move once; rows that repeat are dropped where they already lie together.
+    Rows that repeat are dropped where they already lie together. The wanted ids are stored, so
+    the planner knows their size: within its broadcast bound only texts that are wanted move.
     """
-    firsts = nodes.select("node", F.col("first").alias("doc_id")).join(wanted, "node")
+    firsts = stored(nodes.select("node", F.col("first").alias("doc_id")).join(wanted, "node"), "wanted")
     texts = docs.selectExpr("cast(doc_id as long) as doc_id", "text", f"{TEXT_HASH} as text_hash")
     once = texts.join(firsts, "doc_id").dropDuplicates(["doc_id", "node", "text_hash"]).select("node", "text")
     return stored(once.mapInArrow(_setter(rule.words), _SETS), "sets")
