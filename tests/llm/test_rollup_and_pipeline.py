@@ -43,6 +43,50 @@ def test_batches_add_up_and_repeat_safely(spark, tmp_path):
     token_rollup.commit(spark, ledger, "3", token_rollup.revisions(before, after))
     token_rollup.commit(spark, ledger, "4", token_rollup.inserts(first.limit(0)))
     assert totals(spark, ledger) == loaded | {("a", "en", "v1"): (1, 5), ("a", "en", "v2"): (1, 12)}
+    # An attempt with other, or no, changes takes the place of the earlier one.
+    token_rollup.commit(spark, ledger, "3", token_rollup.inserts(first.limit(0)))
+    token_rollup.commit(spark, ledger, "4", token_rollup.inserts(after))
+    assert totals(spark, ledger) == loaded | {("a", "en", "v2"): (1, 12)}
+
+
+def test_more_than_there_is_cannot_go(spark, tmp_path):
+    ledger = f"{tmp_path}/ledger"
+    schema = "source string, lang string, tokenizer string, tokens long"
+    one = spark.createDataFrame([(None, "en", "v1", 10)], schema)
+    with pytest.raises(ValueError, match="more than there is"):
+        token_rollup.commit(spark, ledger, "0", token_rollup.deletes(one))
+    token_rollup.commit(spark, ledger, "1", token_rollup.inserts(one))
+    token_rollup.commit(spark, ledger, "2", token_rollup.deletes(one))
+    with pytest.raises(ValueError, match="more than there is"):
+        token_rollup.commit(spark, ledger, "3", token_rollup.deletes(one))
+    # The load cannot be taken back either while its documents are deleted by another batch.
+    with pytest.raises(ValueError, match="more than there is"):
+        token_rollup.commit(spark, ledger, "1", token_rollup.inserts(one.limit(0)))
+    assert totals(spark, ledger) == {}
+
+
+def test_compaction_keeps_totals_and_closes_batches(spark, tmp_path):
+    old, new, newer = (f"{tmp_path}/{n}" for n in ("old", "new", "newer"))
+    schema = "source string, lang string, tokenizer string, tokens long"
+    rows = spark.createDataFrame([("a", "en", "v1", 10), (None, None, "v1", 3)], schema)
+    for batch in ("1", "2", "3"):
+        token_rollup.commit(spark, old, batch, token_rollup.inserts(rows))
+    token_rollup.commit(spark, old, "4", token_rollup.inserts(rows.limit(0)))
+    before = totals(spark, old)
+    for _ in range(2):
+        token_rollup.compact(spark, old, new, ["1", "2", "4"], "until-4")
+    assert totals(spark, new) == totals(spark, old) == before
+    assert spark.read.parquet(new).filter("batch = 'until-4' and docs > 0").count() == 2
+    with pytest.raises(ValueError, match="settled"):
+        token_rollup.commit(spark, new, "1", token_rollup.inserts(rows))
+    token_rollup.commit(spark, new, "3", token_rollup.inserts(rows.limit(0)))
+    assert totals(spark, new) == {("a", "en", "v1"): (2, 20), (None, None, "v1"): (2, 6)}
+    token_rollup.compact(spark, new, newer, ["3", "until-4"], "all")
+    assert totals(spark, newer) == totals(spark, new)
+    with pytest.raises(ValueError, match="settled"):
+        token_rollup.commit(spark, newer, "2", token_rollup.inserts(rows))
+    with pytest.raises(ValueError, match="folder"):
+        token_rollup.compact(spark, new, new, ["3"], "x")
 
 
 @needs_tables
