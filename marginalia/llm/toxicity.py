@@ -1,13 +1,13 @@
 """Toxicity by weak supervision.
 
-1. *Voters.* Words and word beginnings that are far more frequent in texts labelled toxic are dealt
-   to lexicons; every lexicon is a voter, and so are patterns (insults addressed to
-   someone, shouting, runs of exclamation marks) and the annotator. Each says toxic, clean
-   or nothing about a text.
+1. *Voters.* Words, word beginnings, beginnings several words share and beginnings dense in a text,
+   that are far more frequent in texts labelled toxic, make a lexicon each; every lexicon is a voter, and so
+   are a public list of insults, patterns (insults addressed to someone, shouting, runs of
+   exclamation marks) and the annotator. Each says toxic, clean or nothing about a text.
 2. *Label model.* A generative model, in which a hidden class makes each voter speak and say what
-   it says, is fitted by expectation maximisation; the annotator is a voter among
-   the others, whose answers are the first guess. Voters that agree more than the class explains (correlation of what is left
-   once the class is known) share one vote's weight.
+   it says, is fitted by expectation maximisation from the voters' majority, without the annotator, who
+   is a voter among the others and no more. Voters that agree more than the class explains
+   (correlation of what is left once the class is known) share one vote's weight.
 3. *Classifier.* A sparse logistic regression on words and word beginnings is trained on the
    label model's posterior, and gives the score of every whole text.
 
@@ -40,7 +40,8 @@ from marginalia.llm.samples import per_class
 # Bound of the training sample, and of the model.
 TEXTS_PER_CLASS = 2500
 FEATURES = 4096
-LEXICONS = 12
+# Kinds of signs: a word, its beginning, one that several words have, one dense in the text.
+KINDS = ("", "*", "**", "%")
 BEGINNINGS = (4, 5, 6, 7, 8)
 LEAST_TEXTS = 3
 LEAST_EVIDENCE = 18.0
@@ -139,17 +140,21 @@ def _pick(found: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.nd
     return seen[order], odds[order]
 
 
+def _kind(sign: str) -> str:
+    return sign[len(sign.rstrip("*%")) :]
+
+
 @dataclass(frozen=True)
 class Voters:
-    """Lexicons of toxic signs (hashed), one of clean silence, and patterns."""
+    """Lexicons of toxic signs (hashed), one for each kind of sign, and patterns."""
 
     lexicons: list[frozenset[int]]
     known: frozenset[int]
 
     @classmethod
-    def of(cls, chosen: np.ndarray, odds: np.ndarray) -> Voters:
+    def of(cls, chosen: np.ndarray, odds: np.ndarray, names: dict[int, str]) -> Voters:
         toxic = chosen[odds > 1.5].tolist()
-        return cls([frozenset(toxic[k::LEXICONS]) for k in range(LEXICONS)], frozenset(toxic))
+        return cls([frozenset(h for h in toxic if _kind(names[h]) == kind) for kind in KINDS], frozenset(toxic))
 
     def votes(self, text: str, own: np.ndarray) -> list[int]:
         """1 toxic, -1 clean, 0 no opinion."""
@@ -158,12 +163,11 @@ class Voters:
             crc32(m.lower().encode()) for pattern in (_ADDRESSED, _CALLED) for m in pattern.findall(text)
         }
         return [
-            *(1 if signs_here & lexicon else 0 for lexicon in self.lexicons),
+            *(1 if signs_here & lexicon else -1 for lexicon in self.lexicons),
             1 if signs_here & _INSULTS else 0,
             1 if said_of_someone & _INSULTS or said_of_someone & self.known else 0,
             1 if _SHOUTED.search(text) else 0,
             1 if _EXCLAIMED.search(text) else 0,
-            -1 if not signs_here & self.known else 0,
             -1 if not signs_here & _INSULTS else 0,
         ]
 
@@ -199,6 +203,16 @@ def label_model(
     return posterior, right.sum(axis=0) / np.maximum((votes != 0).sum(axis=0), 1)
 
 
+def believed(votes: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior of toxic and the voters' accuracies, the annotator's last.
+
+    The first guess is what most voters say; ``toxic``, the annotator's answers, only speaks beside
+    them and sets the share of toxic texts.
+    """
+    most = np.where(votes.sum(axis=1) > 0, 0.98, 0.02)
+    return label_model(np.column_stack([votes, 2 * toxic.astype(int) - 1]), float(toxic.mean()), most)
+
+
 @dataclass(frozen=True)
 class Classifier:
     weights: dict[str, float]
@@ -244,17 +258,16 @@ def train(texts: list[str], toxic: np.ndarray, class_sizes: np.ndarray) -> Class
     if not toxic.any() or toxic.all():
         return None
     chosen, odds = _pick(found, toxic)
-    voters = Voters.of(chosen, odds)
-    votes = np.array([[*voters.votes(t, f), 2 * int(y) - 1] for t, f, y in zip(texts, found, toxic)])
-    posterior, accuracies = label_model(votes, float(toxic.mean()), np.where(toxic, 0.98, 0.02))
     number = {h: i for i, h in enumerate(chosen.tolist())}
     rows = [[number[h] for h in own[np.isin(own, chosen)].tolist()] for own in found]
-    sampled = np.where(toxic, toxic.sum(), (~toxic).sum())
-    weights, bias = _regression(rows, len(chosen), posterior, class_sizes / sampled)
     names: dict[int, str] = {}
     for text, own in zip(texts, rows):
         if not names.keys() >= {int(chosen[i]) for i in own}:
             names |= {h: s for s in signs(text) if (h := crc32(s.encode())) in number}
+    voters = Voters.of(chosen, odds, names)
+    posterior, accuracies = believed(np.array([voters.votes(t, f) for t, f in zip(texts, found)]), toxic)
+    sampled = np.where(toxic, toxic.sum(), (~toxic).sum())
+    weights, bias = _regression(rows, len(chosen), posterior, class_sizes / sampled)
     kept_weights = {names[h]: float(weights[i]) for h, i in number.items() if abs(weights[i]) > 1e-3}
     return Classifier(kept_weights, bias, accuracies.tolist())
 

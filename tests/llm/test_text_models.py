@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 
-from marginalia.llm import language_id, toxicity
+from marginalia.llm import language_id, queries, toxicity
 
 SYLLABLES = {
     "aa": ["tho", "wer", "ing", "sha", "the", "ou"],
@@ -125,6 +125,27 @@ def test_label_model_recovers_accuracies():
     assert ((posterior > 0.5) == truth).mean() > 0.9
 
 
+def test_posterior_comes_from_the_voters():
+    rng = np.random.default_rng(8)
+    truth = rng.random(2000) < 0.2
+    voters = np.stack([np.where(rng.random(2000) < a, truth, ~truth) * 2 - 1 for a in (0.97, 0.95, 0.96, 0.94)], axis=1)
+    # An annotator who is wrong in a tenth of the texts is overruled, whatever the error.
+    annotator = np.where(rng.random(2000) < 0.9, truth, ~truth)
+    posterior, accuracies = toxicity.believed(voters, annotator)
+    assert ((posterior > 0.5) != annotator).sum() > 150
+    assert ((posterior > 0.5) == truth).mean() > 0.98 and abs(accuracies[-1] - 0.9) < 0.03
+
+
+def test_query_of_toxicity_on_held_out_rows(spark, sf_dir):
+    found = queries.op6_toxicity(spark, sf_dir).collect()
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    assert len(found) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in found)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in found)
+    clean = [r.predicted for r in found if r.held_out and truth.get(r.doc_id) == 0]
+    assert sum(clean) <= 0.02 * len(clean)
+
+
 def test_a_repeated_labelled_id_gives_one_text(spark, monkeypatch):
     rows = [(1, f"text {i % 7}") for i in range(3000)] + [(1, None), (2, "b"), (2, "a"), (3, "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
