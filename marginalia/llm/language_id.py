@@ -40,6 +40,9 @@ WINDOWS_PER_TEXT = 3
 EPOCHS = 6
 LEAST_STEPS = 600
 BATCH = 64
+# Texts of more doubt are in no known language; so many bytes without doubt are put to each text.
+MOST_DOUBT = 0.5
+DOUBT_BYTES = 20
 
 _STEP = WINDOW - max(WIDTHS) + 1
 
@@ -71,6 +74,12 @@ class Network:
     bias: np.ndarray
     dense: np.ndarray
     dense_bias: np.ndarray
+    seen: np.ndarray  # of all pairs of bytes, those that the training windows hold
+
+    def unseen(self, text: bytes) -> float:
+        """Share of a text's neighbouring bytes that training never met side by side."""
+        raw = np.frombuffer(text, np.uint8).astype(np.int32)
+        return 1 - float(self.seen[raw[:-1] * 256 + raw[1:]].mean()) if len(raw) > 1 else 0.0
 
     def tables(self) -> list[np.ndarray]:
         """For each width, (position in the filter, byte, filter) responses."""
@@ -126,7 +135,11 @@ def train(texts: list[bytes], labels: list[str], seed: int = 0) -> Network | Non
                 p -= 0.004 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
             params[0][PAD] = 0
     embedding, *filters, bias, dense, dense_bias = params
-    return Network(classes, embedding, filters, bias, dense, dense_bias)
+    seen = np.zeros(1 << 16, bool)
+    for row in xs:
+        real = row[row != PAD].astype(np.int32)
+        seen[real[:-1] * 256 + real[1:]] = True
+    return Network(classes, embedding, filters, bias, dense, dense_bias, seen)
 
 
 def _gradients(params: list[np.ndarray], x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
@@ -187,32 +200,48 @@ def identify(docs: DataFrame, network: Network | None, key: str = "doc_id", text
     return out.withColumnRenamed("key", key)
 
 
-def _one(text: str | None, predict: Callable | None, network: Network | None) -> tuple[str, float]:
+def _one(text: str | None, predict: Callable | None, network: Network | None) -> tuple[str, float, float]:
+    """Language, score, and doubt: 0 where every window is sure of its language, 1 where none tells any.
+
+    Sure is what the network makes of a window, by the entropy of its answer as a share of the largest
+    possible, times the share of the text's byte pairs that training met: an answer about letters never
+    seen is none. The mean over windows is shrunk by DOUBT_BYTES, since a few letters are no
+    sign that a text is in no known language.
+    """
     # Letters as in ``fit``: numerals such as "²", which are word characters, are none.
     if predict is None or text is None or not any(map(str.isalpha, text)):
-        return UNKNOWN, 0.0
+        return UNKNOWN, 0.0, 1.0
     raw = text.encode()
     x, sizes = windows(raw), _sizes(raw)
-    total = sum(sizes[i : i + BATCH] @ predict(x[i : i + BATCH]) for i in range(0, len(x), BATCH))
+    total, entropy = np.zeros(len(network.classes)), 0.0
+    for i in range(0, len(x), BATCH):
+        found, weight = predict(x[i : i + BATCH]), sizes[i : i + BATCH]
+        total = total + weight @ found
+        entropy -= float(weight @ (found * np.log(np.maximum(found, 1e-12))).sum(axis=1))
     mean = total / sizes.sum()
     best = int(mean.argmax())
-    return network.classes[best], min(1.0, float(mean[best]))
+    unsure = max(0.0, entropy) / np.log(max(2, len(network.classes))) / sizes.sum()
+    doubt = (1 - (1 - unsure) * (1 - network.unseen(raw))) * sizes.sum() / (sizes.sum() + DOUBT_BYTES)
+    return network.classes[best], min(1.0, float(mean[best])), float(doubt)
 
 
-def keep_identified(docs: DataFrame, network: Network | None, min_score: float = 0.3) -> DataFrame:
-    """Documents, with all their columns, whose language is told with at least ``min_score``.
+def keep_identified(docs: DataFrame, network: Network | None, most_doubt: float = MOST_DOUBT) -> DataFrame:
+    """Documents, with all their columns, whose language is told with at most ``most_doubt``.
 
-    Answers come back to their rows as a column, so nothing is joined and no text moves.
+    Doubt is a share of the largest possible, whatever the number of languages. A text in two known
+    languages is kept: its windows tell one each, or two of several. Texts without letters go;
+    where no language was learned, all go. Answers come back to their rows as a column, so nothing is
+    joined and no text moves.
     """
-    return docs.filter(_accepted(network, min_score)(F.col("text")))
+    return docs.filter(_accepted(network, most_doubt)(F.col("text")))
 
 
-def _accepted(network: Network | None, min_score: float):
+def _accepted(network: Network | None, most_doubt: float):
     @F.pandas_udf("boolean")
     def accepted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = network.predictor() if network else None
         for texts in batches:
             found = (_one(t, predict, network) for t in texts)
-            yield pd.Series([lang != UNKNOWN and score >= min_score for lang, score in found], dtype=bool)
+            yield pd.Series([lang != UNKNOWN and doubt <= most_doubt for lang, _, doubt in found], dtype=bool)
 
     return accepted

@@ -37,6 +37,23 @@ def test_network_tells_languages_apart_and_trains_alike():
     assert np.mean(right) > 0.97 and all(0 <= f[1] <= 1 for f in found)
 
 
+def test_texts_in_no_known_language_go(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    network = language_id.fit(docs)
+    rng = random.Random(9)
+
+    def letters(first, n):
+        return " ".join("".join(chr(first + rng.randrange(26)) for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    strange = [letters(0x430, 300) for _ in range(20)]  # a script that was not learned
+    en, fr = (docs.filter(f"lang = '{g}' and length(text) > 400").first().text for g in ("en", "fr"))
+    known = [en, fr, en[:200] + " " + fr[:200], en + " " + fr, (en + " " + fr) * 200, en[:12], "Re."]
+    rows = spark.createDataFrame(list(enumerate(known + strange)), "doc_id long, text string")
+    kept = {r.doc_id for r in language_id.keep_identified(rows, network).collect()}
+    assert set(range(len(known))) <= kept and len(kept) <= len(known) + 2
+    assert language_id.keep_identified(rows, None).count() == 0
+
+
 def test_tables_equal_the_convolution():
     rows = labelled(10, 3)
     network = language_id.train([t.encode() for t, _ in rows], [g for _, g in rows])
