@@ -200,8 +200,10 @@ def identify(docs: DataFrame, network: Network | None, key: str = "doc_id", text
     return out.withColumnRenamed("key", key)
 
 
-def _one(text: str | None, predict: Callable | None, network: Network | None) -> tuple[str, float, float]:
-    """Language, score, and doubt: 0 where every window is sure of its language, 1 where none tells any.
+def _one(
+    text: str | None, predict: Callable | None, network: Network | None, doubted: bool = False
+) -> tuple[str, float, float]:
+    """Language, score, and, if ``doubted``, doubt: 0 where every window is sure of its language, 1 where none tells any.
 
     Sure is what the network makes of a window, by the entropy of its answer as a share of the largest
     possible, times the share of the text's byte pairs that training met: an answer about letters never
@@ -217,9 +219,12 @@ def _one(text: str | None, predict: Callable | None, network: Network | None) ->
     for i in range(0, len(x), BATCH):
         found, weight = predict(x[i : i + BATCH]), sizes[i : i + BATCH]
         total = total + weight @ found
-        entropy -= float(weight @ (found * np.log(np.maximum(found, 1e-12))).sum(axis=1))
+        if doubted:
+            entropy -= float(weight @ (found * np.log(np.maximum(found, 1e-12))).sum(axis=1))
     mean = total / sizes.sum()
     best = int(mean.argmax())
+    if not doubted:
+        return network.classes[best], min(1.0, float(mean[best])), 0.0
     unsure = max(0.0, entropy) / np.log(max(2, len(network.classes))) / sizes.sum()
     doubt = (1 - (1 - unsure) * (1 - network.unseen(raw))) * sizes.sum() / (sizes.sum() + DOUBT_BYTES)
     return network.classes[best], min(1.0, float(mean[best])), float(doubt)
@@ -241,7 +246,7 @@ def _accepted(network: Network | None, most_doubt: float):
     def accepted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = network.predictor() if network else None
         for texts in batches:
-            found = (_one(t, predict, network) for t in texts)
+            found = (_one(t, predict, network, doubted=True) for t in texts)
             yield pd.Series([lang != UNKNOWN and doubt <= most_doubt for lang, _, doubt in found], dtype=bool)
 
     return accepted
