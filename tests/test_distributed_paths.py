@@ -270,6 +270,39 @@ def test_near_duplicates_against_all_pairs(spark):
     assert near_duplicates.check_near_duplicates(df.limit(0)).first()["skipped"]
 
 
+def test_sets_of_texts_without_partners_do_not_move(spark, monkeypatch):
+    """Texts with a passage in common, exact copies, and one pair of near copies: only that pair is ordered and joined."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(30)]
+    own = [[f"w{rng.randrange(10**6)}" for _ in range(200)] for _ in range(150)]
+    rows = [(i, " ".join(words + passage)) for i, words in enumerate(own)]
+    rows += [(500 + i, rows[7][1]) for i in range(40)] + [(900, rows[0][1].replace(own[0][100], "changed")), (None, "alone")]
+    kept = {}
+
+    def held(df, purpose, put=near_duplicates.stored):
+        kept[purpose] = put(df, purpose)
+        return kept[purpose]
+
+    monkeypatch.setattr(near_duplicates, "stored", held)
+    df = spark.createDataFrame(rows, "source_id long, text string")
+    got = near_duplicates.near_duplicate_pairs(df).collect()
+    assert [tuple(r) for r in got] == [(0, 900, 221, 231)]
+    assert kept["near-sets"].count() == 2
+
+
+def test_first_look_at_other_similarities(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(12)]
+    sets = [{rng.choice(words) for _ in range(rng.randrange(1, 12))} for _ in range(60)]
+    sets = [set(x) for x in {frozenset(x) for x in sets}]
+    df = spark.createDataFrame([(i, " ".join(sorted(x))) for i, x in enumerate(sets)], "source_id long, text string")
+    for percent in (5, 34, 50, 95):
+        got = {(r["id_a"], r["id_b"]) for r in near_duplicates.near_duplicate_pairs(df, words=1, percent_alike=percent).collect()}
+        assert got == {
+            (i, j) for (i, a), (j, b) in combinations(enumerate(sets), 2) if 100 * len(a & b) >= percent * len(a | b)
+        }
+
+
 def test_normalised_words_have_single_spaces(spark):
     row = spark.createDataFrame([(" A  b\n\tC ",)], "t string").select(normalise(F.col("t"))).first()
     assert row[0] == "a b c"
