@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,24 +95,32 @@ def review_tasks(records: DataFrame, task: str) -> DataFrame:
     )
 
 
+def _closer() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Gives the batches as they are, holds none, and adds a last row that ends the array."""
+
+    def closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, schema = "[]", pa.schema([("value", pa.string())])
+        for batch in batches:
+            if batch.num_rows:
+                last, schema = "]", batch.schema
+                yield batch
+            del batch
+        yield pa.RecordBatch.from_arrays([pa.array([last], schema.field(0).type)], schema=schema)
+
+    return closed
+
+
 def write_json_array(df: DataFrame, path: str) -> str:
     """Part files that each hold one JSON array, for tools that import arrays.
 
-    Lines are framed as they stream by; nothing is gathered.
+    Lines get their bracket or comma in Spark and stream through Python, which only adds the end.
     """
     keep_nulls = {"ignoreNullFields": "false"}
-    lines = df.select(F.to_json(F.struct("*"), keep_nulls).alias("value"))
-
-    def framed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        opener = "["
-        for batch in batches:
-            if len(batch):
-                starts = [opener] + [","] * (len(batch) - 1)
-                yield pd.DataFrame({"value": [s + v for s, v in zip(starts, batch["value"])]})
-                opener = ","
-        yield pd.DataFrame({"value": ["[]" if opener == "[" else "]"]})
-
-    lines.mapInPandas(framed, "value string").write.text(path)
+    # The lower 33 bits count the rows of a partition.
+    is_first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    opener = F.when(is_first, "[").otherwise(",")
+    lines = df.select(F.concat(opener, F.to_json(F.struct("*"), keep_nulls)).alias("value"))
+    lines.mapInArrow(_closer(), "value string").write.text(path)
     return path
 
 

@@ -1,5 +1,7 @@
 import json
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,6 +212,30 @@ def test_json_array_files_are_arrays(spark, tmp_path):
     assert readers.scan_json_array(spark, path).count() == 10
 
 
+def test_json_arrays_of_many_batches_and_none(spark, tmp_path):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        # Nothing in the first partition, one row, exactly a batch, and several batches.
+        df = spark.range(0, 40, 1, 4).filter("id >= 19 and id not between 23 and 26 and id <> 20").repartitionByRange(4, "id")
+        path = writers.write_json_array(df, str(tmp_path / "a.json"))
+        empty = writers.write_json_array(spark.range(0, 8, 1, 2).filter("id < 4"), str(tmp_path / "b.json"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for folder, ids in ((path, [19, 21, 22, *range(27, 40)]), (empty, range(4))):
+        loaded = [json.loads(p.read_text()) for p in sorted(Path(folder).glob("part-*"))]
+        assert [r["id"] for part in loaded for r in part] == list(ids)
+    assert loaded[-1] == []
+
+
+def test_json_arrays_pass_batches_through(spark):
+    """Python makes no copy of a batch and keeps none."""
+    batches = [pa.RecordBatch.from_pydict({"value": pa.array(x, pa.large_string())}) for x in (['[{"a":1}', ',{"a":2}'], [], [',{"a":3}'])]
+    got = list(writers._closer()(iter(batches)))
+    assert got[0] is batches[0] and got[1] is batches[2] and got[2].to_pydict() == {"value": ["]"]}
+    assert got[2].schema == batches[0].schema
+    assert [b.to_pydict() for b in writers._closer()(iter([]))] == [{"value": ["[]"]}]
+
+
 def test_corrected_tasks_come_back(spark, tmp_path):
     doc = {
         "id": 7,
