@@ -9,7 +9,7 @@ from marginalia.operators.labelling import label
 from marginalia.operators.records import label_batch
 from marginalia.operators.summary import annotation_summary
 from marginalia.plans import label_job
-from marginalia.sources import annotated, paths, readers, reviewtool, rules, samples, writers
+from marginalia.sources import annotated, paths, readers, reviewtool, rules, samples, splitcsv, writers
 from marginalia.sources.vocabulary import BUILT_IN_RULES, SAMPLE_TEXTS, SHOP_RULES
 
 
@@ -204,6 +204,19 @@ def test_review_task_document(spark, texts):
     assert doc["predictions"][0]["model_version"] == "rule_engine_v1.0.0"
 
 
+def test_split_csv_hands_on_long_records_in_small_batches():
+    """A batch of 30 MB, with records of one line and of three; before, they were handed on at once."""
+    line = "x" * 100_000
+    turns = [splitcsv._KEEPS if i % 4 == 0 else (1 if i % 4 in (1, 3) else splitcsv._KEEPS) for i in range(300)]
+    columns = {"__file": ["f"] * 300, "__block": [0] * 300, "turns": turns, "value": [f"{i}{line}" for i in range(300)], "owner": [None] * 300}
+    batch = pa.RecordBatch.from_pydict(columns | {"owner": pa.array([None] * 300, pa.int64())})
+    got = list(splitcsv._assemble(iter([batch])))
+    assert max(b.nbytes for b in got) < 3 * splitcsv._PIECE
+    records = [r for b in got for r in b.column("record").to_pylist()]
+    assert [r.count("x") // 100_000 for r in records] == [1, 3] * 75
+    assert "\n".join(records) == "\n".join(columns["value"])
+
+
 def test_json_array_files_are_arrays(spark, tmp_path):
     df = spark.range(10).repartition(3).select("id", F.lit(None).cast("string").alias("gone"))
     path = writers.write_json_array(df, str(tmp_path / "a.json"))
