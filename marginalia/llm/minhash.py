@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.functions.bloom import bloom_filter, may_contain
 from marginalia.llm.batches import pieces, texts_of
 from marginalia.llm.components import components
 from marginalia.sources.paths import stored
@@ -442,10 +443,14 @@ def keep_first(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """Full sets of the wanted nodes, made again from the texts of one document of each.
 
-    Rows that repeat are dropped where they already lie together. The wanted ids are stored, so
-    the planner knows their size: within its broadcast bound only texts that are wanted move.
+    Texts that are not wanted are left out by a Bloom filter before anything moves; without one, beyond its
+    bound, the join does that. Rows that repeat are dropped where they already lie together.
     """
     firsts = stored(nodes.select("node", F.col("first").alias("doc_id")).join(wanted, "node"), "wanted")
     texts = docs.selectExpr("cast(doc_id as long) as doc_id", "text", f"{TEXT_HASH} as text_hash")
+    n = firsts.count()
+    words = bloom_filter(firsts, "doc_id", n)
+    if words is not None:
+        texts = texts.filter(may_contain(words, F.col("doc_id"), n))
     once = texts.join(firsts, "doc_id").dropDuplicates(["doc_id", "node", "text_hash"]).select("node", "text")
     return stored(once.mapInArrow(_setter(rule.words), _SETS), "sets")

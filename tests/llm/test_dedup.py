@@ -140,3 +140,25 @@ def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
     expected, _ = brute(rows, 2, 80)
     found = {r.doc_id: r.component_id for r in minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), minhash.Rule(2, 80)).collect()}
     assert [found[i] for i, _ in rows] == expected
+
+
+def test_minhash_moves_only_texts_that_are_wanted(spark, monkeypatch):
+    """Where the wanted ids are too many to broadcast, other texts are left out before the join."""
+    plans = []
+
+    def held(df, purpose, put=minhash.stored):
+        if purpose == "sets":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return put(df, purpose)
+
+    monkeypatch.setattr(minhash, "stored", held)
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(30))) for i in range(60)] + [(90, " ".join([f"w0x{k}" for k in range(30)] + ["end"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in minhash.near_groups(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == {i: i for i in range(60)} | {90: 0}
+    assert plans and all("getbit" in p for p in plans)
