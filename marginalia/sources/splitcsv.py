@@ -10,7 +10,7 @@ together to records, and only pieces of records that cross a border are sent to
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -81,60 +81,68 @@ _PIECE = 1 << 20
 _RECORD = "__file string, __block long, __pos long, owner long, first boolean, record string"
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``_PIECE`` bytes, so that few lines at a time are Python's."""
-    for batch in batches:
-        step = max(1, batch.num_rows * _PIECE // max(1, batch.nbytes))
-        for at in range(0, batch.num_rows, step):
-            yield batch.slice(at, step)
-        del batch
-
-
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records of each split, numbered in ``__pos``. ``owner`` is set on pieces: the split their
-    record began in, whose number for it counts."""
-    schema = pa.schema(
-        [("__file", pa.string()), ("__block", pa.int64()), ("__pos", pa.int64()), ("owner", pa.int64()),
-         ("first", pa.bool_()), ("record", pa.string())]
-    )
-    split, inside, owner, lines, pos, first, held = None, 0, None, [], 0, False, 0
-    rows: list[tuple] = []
-
-    def end(piece_of: int | None) -> None:
-        nonlocal first, held, lines, owner, pos
-        record = "\n".join(lines)
-        if piece_of is not None or record.strip("\r"):
-            rows.append((*split, pos, piece_of, first, record))
-            held += len(record)
-            first = False
-            if owner is None:
-                pos += 1
-        lines, owner = [], None
-
-    def flush() -> pa.RecordBatch:
-        nonlocal held
-        held = 0
-        batch = pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-        rows.clear()
-        return batch
-
-    names = ("__file", "__block", "turns", "value", "owner")
-    for piece in _pieces(batches):
-        for file, block, turns, value, began in zip(*[piece.column(c).to_pylist() for c in names]):
-            if (file, block) != split:
-                if lines:
-                    end(split[1] if owner is None else owner)
-                split, inside, owner, pos, first = (file, block), int(began is not None), began, 0, block == 0
-            lines.append(value)
-            inside = turns >> inside & 1
-            if not inside:
-                end(owner)
-            if len(rows) > 5000 or held > _PIECE:
-                yield flush()
-    if lines:
-        end(split[1] if owner is None else owner)
-    if rows:
-        yield flush()
+def _assembler(piece: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``_assemble``, made here so that it is sent to Python workers whole: they may have no copy of this
+    package, and a function of a module is sent as its name only."""
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Slices of about ``piece`` bytes, so that few lines at a time are Python's."""
+        for batch in batches:
+            step = max(1, batch.num_rows * piece // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, step):
+                yield batch.slice(at, step)
+            del batch
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Records of each split, numbered in ``__pos``. ``owner`` is set on pieces: the split their
+        record began in, whose number for it counts."""
+        schema = pa.schema(
+            [("__file", pa.string()), ("__block", pa.int64()), ("__pos", pa.int64()), ("owner", pa.int64()),
+             ("first", pa.bool_()), ("record", pa.string())]
+        )
+        split, inside, owner, lines, pos, first, held = None, 0, None, [], 0, False, 0
+        rows: list[tuple] = []
+
+        def end(piece_of: int | None) -> None:
+            nonlocal first, held, lines, owner, pos
+            record = "\n".join(lines)
+            if piece_of is not None or record.strip("\r"):
+                rows.append((*split, pos, piece_of, first, record))
+                held += len(record)
+                first = False
+                if owner is None:
+                    pos += 1
+            lines, owner = [], None
+
+        def flush() -> pa.RecordBatch:
+            nonlocal held
+            held = 0
+            batch = pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            rows.clear()
+            return batch
+
+        names = ("__file", "__block", "turns", "value", "owner")
+        for part in pieces(batches):
+            for file, block, turns, value, began in zip(*[part.column(c).to_pylist() for c in names]):
+                if (file, block) != split:
+                    if lines:
+                        end(split[1] if owner is None else owner)
+                    split, inside, owner, pos, first = (file, block), int(began is not None), began, 0, block == 0
+                lines.append(value)
+                inside = turns >> inside & 1
+                if not inside:
+                    end(owner)
+                if len(rows) > 5000 or held > piece:
+                    yield flush()
+        if lines:
+            end(split[1] if owner is None else owner)
+        if rows:
+            yield flush()
+
+    return assemble
+
+
+_assemble = _assembler(_PIECE)
 
 
 def records(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:

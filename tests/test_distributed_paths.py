@@ -3,12 +3,16 @@
 import csv
 import io
 import json
+import os
 import random
 import re
 import statistics
 import struct
+import subprocess
+import sys
 from collections import Counter
 from itertools import combinations
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,6 +93,32 @@ def test_files_with_other_headers_are_refused(spark, tmp_path, small_splits):
         readers.scan_csv(spark, str(tmp_path)).collect()
 
 
+READ_WITHOUT_PACKAGE = """
+import sys
+
+sys.path.insert(0, sys.argv[1])  # of the driver alone
+from pyspark.sql import SparkSession
+from marginalia.sources import readers
+
+settings = {"spark.ui.enabled": "false", "spark.sql.files.maxPartitionBytes": "300b", "spark.sql.files.openCostInBytes": "0"}
+spark = SparkSession.builder.master("local[2]").config(map=settings).getOrCreate()
+print("ROWS", sorted(int(r["id"]) for r in readers.scan_csv(spark, sys.argv[2]).collect() if r["text"] == "two\\nlines"))
+spark.stop()
+"""
+
+
+def test_split_files_are_read_where_workers_lack_the_package(tmp_path):
+    """Executors of a cluster have neither the driver's folder nor its path."""
+    (tmp_path / "a.csv").write_text("id,text\n" + "".join(f'{i},"two\nlines"\n' for i in range(100)), "utf-8", newline="")
+    root = Path(__file__).resolve().parents[1]
+    inherited = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p and Path(p).resolve() != root]
+    ran = subprocess.run(
+        [sys.executable, "-c", READ_WITHOUT_PACKAGE, str(root), str(tmp_path / "a.csv")],
+        cwd=tmp_path, env=os.environ | {"PYTHONPATH": os.pathsep.join(inherited)}, capture_output=True, text=True, timeout=300,
+    )
+    assert f"ROWS {list(range(100))}" in ran.stdout, ran.stderr[-2000:]
+
+
 def test_a_limit_opens_only_the_files_it_needs(spark, tmp_path):
     spark.range(4000).select(F.col("id").cast("string").alias("id"), F.lit("some text").alias("text")).repartitionByRange(
         16, F.col("id").cast("long")
