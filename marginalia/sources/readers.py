@@ -197,7 +197,8 @@ def _first_files(df: DataFrame, has_text: Column, limit: int) -> DataFrame:
     name = F.col("_metadata.file_path")
     taken = 1
     while taken < len(files):
-        few = df.filter(name.isin(files[:taken]))
+        # An address without a host has three slashes here and one there.
+        few = df.filter(name.isin([*files[:taken], *[f.replace(":///", ":/", 1) for f in files[:taken]]]))
         if few.filter(has_text).limit(limit).count() == limit:
             return few
         taken *= 8
